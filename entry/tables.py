@@ -1,0 +1,140 @@
+"""Input tables for the queries: the given documents, laid out as pages of lines.
+
+The documents are plain text, so their layout is derived: every line is wrapped
+after ten words, twelve wrapped lines make a page, and style and position follow
+from the numbers of document and line. Some lines get a prefix (numbers, dates,
+citations) and some pages extra lines (running headers, page numbers, contents
+entries), because plain prose meets few of the text tests. All words of all
+documents are kept.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pagespine.operators.postprocess import post_process
+from pagespine.operators.traits import with_traits
+from pagespine.plans.outlines import first_labels, route, to_blocks
+from pagespine.session import stage_table
+
+WRAPPED_DUCKDB = """
+SELECT doc_id, i - 1 AS n, w[i] AS txt
+FROM (SELECT doc_id, flatten([
+          [array_to_string(words[j * 10 + 1 : j * 10 + 10], ' ') FOR j IN range(0, (len(words) - 1) // 10 + 1)]
+          FOR words IN [string_split(line, ' ') FOR line IN string_split(text, chr(10))]]) AS w
+      FROM documents) d, unnest(range(1, len(w) + 1)) t(i)
+"""
+
+# Both engines read this; {extra} is their way to repeat a row for k = 0 and 1.
+LINES = """
+SELECT document_name, page_number, line_no, text, fontname, fontsize,
+       x0, y1 - 12.0 AS y0, x1, y1, CAST(612.0 AS DOUBLE) AS page_width, CAST(792.0 AS DOUBLE) AS page_height
+FROM (
+  SELECT concat('doc_', doc_id) AS document_name,
+         CAST(floor(n / 12) AS INT) AS page_number,
+         CAST((n % 12) * 2 + k AS INT) AS line_no,
+         CASE WHEN k = 0 THEN
+                CASE h WHEN 1 THEN concat('Filed 12/03/2021 ', txt)
+                       WHEN 3 THEN concat('[Smith 2021] ', txt)
+                       WHEN 6 THEN concat('1.2 ', txt)
+                       WHEN 7 THEN concat('Introduction: ', txt)
+                       WHEN 9 THEN upper(replace(txt, 'ß', 'ss'))
+                       WHEN 11 THEN lower(txt)
+                       WHEN 13 THEN concat('2 ', txt)
+                       WHEN 15 THEN concat('•Overview ', txt)
+                       WHEN 16 THEN concat('  ', txt, ' ')
+                       ELSE txt END
+              ELSE
+                CASE WHEN doc_id % 2 = 0 AND n % 12 = 0 THEN 'Running header text'
+                     WHEN h = 0 THEN concat('Page ', n, ' of 99')
+                     WHEN h = 2 THEN 'Chapter 1 Scope ........ 7'
+                     WHEN h = 4 THEN '--------!!'
+                     WHEN h = 5 THEN '(3.14) - 2/7'
+                     WHEN h = 8 THEN concat('Annex ', n)
+                     WHEN h = 10 THEN '   '
+                     WHEN h = 12 THEN '***'
+                     WHEN h = 14 THEN '[7]'
+                     WHEN h = 17 THEN concat('3.', n, ' Terms')
+                     WHEN h = 18 THEN concat('NOTES ON PART ', n) END END AS text,
+         CASE WHEN h IN (6, 7, 9, 13, 17, 18) OR n = 0 THEN 'Helvetica-Bold'
+              WHEN h IN (0, 1, 2, 3, 4, 5, 8, 12, 14) THEN 'Times' ELSE 'Helvetica' END AS fontname,
+         CAST(CASE WHEN doc_id % 3 = 0 THEN 11.0 WHEN n = 0 THEN 24.0 WHEN h IN (7, 13, 18) THEN 18.0
+                   WHEN h IN (6, 17) THEN 15.0 WHEN h IN (9, 11) THEN 13.0
+                   WHEN h IN (0, 2, 4, 8, 12) THEN 9.5 WHEN h IN (1, 3, 5, 14) THEN 8.5 ELSE 11.0 END AS DOUBLE) AS fontsize,
+         CAST(72.0 + (h % 4) * 9.125 AS DOUBLE) AS x0,
+         CAST(300.0 + (h % 7) * 30.5 AS DOUBLE) AS x1,
+         CAST(740.5 - (n % 12) * (14.25 + (h % 3) * 9.0) - k * 6.375 AS DOUBLE) AS y1
+  FROM (SELECT doc_id, n, txt, k, (doc_id * 31 + n * 17) % 29 AS h FROM ({wrapped}) w {extra}) r
+) l
+WHERE text IS NOT NULL
+"""
+
+LINES_SPARK = LINES.format(wrapped="SELECT * FROM {wrapped}", extra="LATERAL VIEW explode(array(0, 1)) e AS k")
+LINES_DUCKDB = LINES.format(wrapped=WRAPPED_DUCKDB, extra=", unnest([0, 1]) e(k)")
+
+CHARS = """
+SELECT document_name, page_number, line_no, CAST(char_idx AS INT) AS char_idx,
+       CASE WHEN (line_no + char_idx * 7) % 5 IN (0, 1) THEN 'Helvetica-Bold' ELSE fontname END AS fontname,
+       fontsize + CASE WHEN (line_no + char_idx) % 6 = 0 THEN CAST(0.004 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS size
+FROM lines {extra}
+"""
+CHARS_SPARK = CHARS.format(
+    extra="LATERAL VIEW explode(CASE WHEN length(text) > 0 THEN sequence(0, length(text) - 1) ELSE array() END) t AS char_idx"
+)
+CHARS_DUCKDB = CHARS.format(extra=", unnest(range(0, length(text))) t(char_idx)")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, over as many tasks as the session runs at once."""
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    tasks = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
+
+
+def wrapped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of at most ten words: every tenth blank of a line becomes a line end."""
+    broken = F.regexp_replace("text", r"((?:[^ \n]*+ ){9}[^ \n]*+) ", "$1\n")
+    return documents(spark, sf_dir).select("doc_id", F.posexplode(F.split(broken, "\n")).alias("n", "txt"))
+
+
+_stored: dict = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """Derive an input table once per session and scale, as a real collection would be stored."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        _stored[key] = stage_table(make(), name)
+    return _stored[key]
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "lines", lambda: spark.sql(LINES_SPARK, wrapped=wrapped_lines(spark, sf_dir)))
+
+
+def chars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(CHARS_SPARK.replace("FROM lines", "FROM {lines}"), lines=lines(spark, sf_dir))
+
+
+def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks with features and vectors, the input of the labelling steps."""
+    return stored(spark, sf_dir, "blocks", lambda: with_traits(to_blocks(lines(spark, sf_dir))))
+
+
+def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of the documents of uniform style."""
+    return stored(spark, sf_dir, "ruled", lambda: route(blocks(spark, sf_dir)).filter("is_uniform").drop("is_uniform"))
+
+
+def varied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of the other documents."""
+    return stored(spark, sf_dir, "varied", lambda: route(blocks(spark, sf_dir)).filter("NOT is_uniform").drop("is_uniform"))
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All blocks with the labels of their labeller, before corrections."""
+    return stored(spark, sf_dir, "first_labels", lambda: first_labels(blocks(spark, sf_dir)))
+
+
+def finished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All blocks with final labels."""
+    return stored(spark, sf_dir, "final_labels", lambda: post_process(labelled(spark, sf_dir)))

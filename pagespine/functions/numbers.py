@@ -15,11 +15,9 @@ def round_half_even(x: Column, digits: int) -> Column:
     error: a Veltkamp split leaves two halves whose products with the small
     scale are exact.
     """
-    scale = 10**digits
+    scale = float(10**digits)
     x = x.cast("double")
-    below = F.floor(x * F.lit(float(scale))).cast("double")
-    high = F.lit(_SPLIT) * x - (F.lit(_SPLIT) * x - x)
-    beyond_midpoint = (high * F.lit(2.0 * scale) - (below * 2.0 + 1.0)) + (x - high) * F.lit(2.0 * scale)
-    odd = F.pmod(below, F.lit(2.0)) != 0
-    up = (beyond_midpoint > 0) | ((beyond_midpoint == 0) & odd)
-    return (below + up.cast("double")) / F.lit(float(scale))
+    below = F.floor(x * scale).cast("double")
+    high = x * _SPLIT - (x * _SPLIT - x)
+    beyond_midpoint = (high * (2 * scale) - (below * 2.0 + 1.0)) + (x - high) * (2 * scale)
+    return F.rint(below + 0.5 + F.signum(beyond_midpoint) * 0.5) / scale

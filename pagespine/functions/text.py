@@ -1,6 +1,6 @@
 """Text tests and measures as Column expressions.
 
-``(?U)`` makes ``\\d``, ``\\s`` and ``\\b`` follow Unicode, ``(?d)`` makes only
+``(?U)`` makes ``\\d`` and ``\\s`` follow Unicode, ``(?d)`` makes only
 ``\\n`` a line end. U+001C to U+001F count as white space, which Java leaves out.
 """
 
@@ -14,8 +14,9 @@ SPACE = r"[\s\x1c-\x1f]"
 NOT_SPACE = r"[^\s\x1c-\x1f]"
 PAGE_NUMBER = rf"(?iuUd)^(page|pg\.?){SPACE}+\d+({SPACE}+of{SPACE}+\d+)?$"
 DIGITS_AND_SYMBOLS = r"(?U)^[\d\s\x1c-\x1f.\-/:()]+\z"
-MONTH_WORD = r"(?iuU)\b(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\b"
-NUMERIC_DATE = r"(?U)\b\d{1,2}[/-]\d{1,2}[/-]\d{2,4}\b"
+WORD_EDGE_LEFT, WORD_EDGE_RIGHT = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+MONTH_WORD = rf"(?iu){WORD_EDGE_LEFT}(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*{WORD_EDGE_RIGHT}"
+NUMERIC_DATE = rf"(?U){WORD_EDGE_LEFT}\d{{1,2}}[/-]\d{{1,2}}[/-]\d{{2,4}}{WORD_EDGE_RIGHT}"
 DOTTED_LEADER = "..."
 LAST_NUMBER = rf"(?Ud)\d{SPACE}*$"
 CONTENTS_LINE = rf"(?iuUd)(section|chapter|\d+\.?\d*){SPACE}+.*\.{{3,}}.*\d+"
@@ -25,14 +26,19 @@ BRACKET_AUTHOR_YEAR = r"(?Ud)^\[[A-Za-z]+.*\d{4}.*\]"
 LEADING_NUMBER = rf"(?U)^(\d+(?:\.\d+){{0,2}}){SPACE}+"
 
 
+def _space_characters() -> str:
+    codes = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+    return "".join(map(chr, codes))
+
+
 def strip(text: Column) -> Column:
-    """Remove white space of every kind from both ends."""
-    return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+\z", "")
+    """Remove white space of every kind from both ends, looking at the ends only."""
+    return F.btrim(text, F.lit(_space_characters()))
 
 
 def word_count(text: Column) -> Column:
     """Runs of non-space characters."""
-    return F.regexp_count(text, F.lit(rf"(?U){NOT_SPACE}+"))
+    return F.regexp_count(text, F.lit(f"(?U){NOT_SPACE}+"))
 
 
 def first_word(text: Column) -> Column:

@@ -14,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as ST
 from pyspark.sql import Window as W
 
 from pagespine.constants import BLOCKS_PER_TASK, N_CLUSTERS, RANKED_LABELS, ROUNDS
@@ -82,17 +81,28 @@ def label_points(points: np.ndarray, start: int, n_clusters: int, rounds: int) -
 
 
 def cluster_small(scaled: DataFrame, n_clusters: int, rounds: int) -> DataFrame:
-    """Documents of bounded size, one group each."""
-    def label(table: pa.Table) -> pa.Table:
-        table = table.sort_by("seq")
-        points = np.column_stack([table[a].to_numpy() for a in AXES])
-        start = int(np.argmax(table["fontsize"].fill_null(0.0).to_numpy()))
-        labels = label_points(points, start, n_clusters, rounds).astype(np.int32)
-        return table.drop_columns(AXES).append_column("cluster_label", pa.array(labels))
-
-    kept = [f for f in scaled.schema.fields if f.name not in AXES]
-    schema = ST.StructType(kept + [ST.StructField("cluster_label", ST.IntegerType())])
-    return scaled.groupBy(DOC).applyInArrow(label, schema)
+    """Documents of bounded size: one packed row each, whose points alone go to NumPy."""
+    @F.arrow_udf("array<int>")
+    def label(points: pa.Array, sizes: pa.Array) -> pa.Array:
+        ends = points.offsets.to_numpy()
+        coordinates = points.values.flatten().to_numpy().reshape(-1, DIMS)
+        sizes = sizes.values.fill_null(0.0).to_numpy()
+        labels = [
+            label_points(coordinates[a - ends[0] : b - ends[0]], int(np.argmax(sizes[a:b])), n_clusters, rounds)
+            for a, b in zip(ends[:-1], ends[1:])
+        ]
+        flat = pa.array(np.concatenate(labels).astype(np.int32)) if labels else pa.array([], pa.int32())
+        return pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), flat)
+
+    kept = [c for c in scaled.columns if c not in (DOC, "seq", *AXES)]
+    row = F.struct("seq", *kept, F.array(*AXES).alias("point"))
+    packed = scaled.groupBy(DOC).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    labelled = packed.select(DOC, "rows", label(F.col("rows.point"), F.col("rows.fontsize")).alias("labels"))
+    pair = labelled.select(DOC, F.explode(F.arrays_zip("rows", "labels")).alias("pair"))
+    return pair.select(
+        DOC, F.col("pair.rows.seq").alias("seq"), *[F.col(f"pair.rows.{c}").alias(c) for c in kept],
+        F.col("pair.labels").alias("cluster_label"),
+    )
 
 
 def _distance(center: str) -> Column:
@@ -115,9 +125,11 @@ class LargeDocumentKMeans:
         """Points beside the centers of their document, without moving the points."""
         return self.points.join(self.places.select(DOC, BUCKET).join(centers, DOC), [DOC, BUCKET])
 
-    def _nearest(self, names: list[str]) -> tuple[list[Column], Column]:
-        distances = [_distance(name) for name in names]
-        return distances, F.least(*distances) if len(distances) > 1 else distances[0]
+    def _measure(self, centers: DataFrame, names: list[str]) -> DataFrame:
+        """Points with their distance to each named center and to the nearest of them."""
+        apart = [f"to_{name}" for name in names]
+        met = self._meet(centers).withColumns({d: _distance(name) for d, name in zip(apart, names)})
+        return met.withColumn("nearest", F.least(*apart) if len(apart) > 1 else F.col(apart[0])).drop(*names)
 
     def seeds(self) -> DataFrame:
         """Start from the block in the largest type, then take the farthest block each time."""
@@ -128,20 +140,19 @@ class LargeDocumentKMeans:
         )
         centers = checkpointed(start)
         for j in range(1, self.n_clusters):
-            _, nearest = self._nearest(self.names[:j])
             farthest = (
-                self._meet(centers.filter(F.col("size") > j))
+                self._measure(centers.filter(F.col("size") > j), self.names[:j])
                 .groupBy(DOC)
-                .agg(F.max_by(point, F.struct(nearest, earlier)).alias(f"c{j}"))
+                .agg(F.max_by(point, F.struct("nearest", earlier)).alias(f"c{j}"))
             )
             centers = checkpointed(centers.join(farthest, DOC, "left"))
         return centers.select(DOC, *self.names)
 
     def assign(self, centers: DataFrame) -> DataFrame:
         """The nearest center of each point; a tie goes to the lower number."""
-        distances, nearest = self._nearest(self.names)
-        label = F.coalesce(*[F.when(d == nearest, j) for j, d in enumerate(distances)])
-        return self._meet(centers).withColumn("cluster_label", label.cast("int"))
+        label = F.coalesce(*[F.when(F.col(f"to_{name}") == F.col("nearest"), j) for j, name in enumerate(self.names)])
+        measured = self._measure(centers, self.names).withColumn("cluster_label", label.cast("int"))
+        return measured.drop("nearest", *[f"to_{name}" for name in self.names])
 
     def move(self, centers: DataFrame) -> DataFrame:
         """Centers at the mean of their points; one without points stays where it is."""
@@ -168,7 +179,7 @@ class LargeDocumentKMeans:
             centers = moved.drop("steady")
             if moved.filter(~F.col("steady")).isEmpty():
                 break
-        return self.assign(centers).drop(*self.names, *AXES)
+        return self.assign(centers).drop(*AXES)
 
 
 def cluster_scaled(

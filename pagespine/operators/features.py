@@ -11,16 +11,22 @@ from pagespine.functions.numbers import round_half_even
 def with_features(raw_blocks: DataFrame) -> DataFrame:
     """Replace box and page size by the features derived from them."""
     left, right = F.col("bbox.x0"), F.col("bbox.x1")
-    off_center = F.abs(left + (right - left) / 2 - F.col("page_width") / 2)
-    features = F.struct(
-        F.col("fontsize").cast("double").alias("font_size"),
-        round_half_even(left, 2).alias("indentation"),
-        F.lower("fontname").contains("bold").cast("int").alias("is_bold"),
-        round_half_even(F.col("bbox.y1"), 2).alias("y_coordinate"),
-        round_half_even(off_center, 2).alias("centering_offset"),
-        T.word_count(F.col("text")).alias("word_count"),
+    measured = raw_blocks.withColumns(
+        {"left": left, "top": F.col("bbox.y1"), "off_center": F.abs(left + (right - left) / 2 - F.col("page_width") / 2)}
+    ).withColumns(
+        {
+            "font_size": F.col("fontsize").cast("double"),
+            "indentation": round_half_even(F.col("left"), 2),
+            "is_bold": F.lower("fontname").contains("bold").cast("int"),
+            "y_coordinate": round_half_even(F.col("top"), 2),
+            "centering_offset": round_half_even(F.col("off_center"), 2),
+            "word_count": T.word_count(F.col("text")),
+        }
+    )
+    names = ["font_size", "indentation", "is_bold", "y_coordinate", "centering_offset", "word_count"]
+    return measured.withColumn("features", F.struct(*names)).drop(
+        "bbox", "page_width", "page_height", "left", "top", "off_center", *names
     )
-    return raw_blocks.withColumn("features", features).drop("bbox", "page_width", "page_height")
 
 
 def feature(name: str, default: float = 0.0) -> Column:
@@ -41,6 +47,6 @@ def with_vectors(blocks: DataFrame) -> DataFrame:
         feature("centering_offset", DEFAULT_CENTERING_OFFSET),
         feature("word_count"),
         feature("y_coordinate"),
-        round_half_even(indent_ratio(), 3),
+        round_half_even(F.col("indent_ratio"), 3),
     )
-    return blocks.withColumn("feature_vector", vector)
+    return blocks.withColumn("indent_ratio", indent_ratio()).withColumn("feature_vector", vector).drop("indent_ratio")

@@ -133,10 +133,10 @@ def to_raw_blocks(lines: DataFrame, keywords=HEADING_KEYWORDS, long_pages: bool
     return fold_blocks(number_blocks(nonblank_lines(lines), keywords, long_pages))
 
 
-def list_positions(blocks: DataFrame) -> DataFrame:
-    """The place of each block in its document, counted from 0 without gaps.
+def list_positions(blocks: DataFrame, order=("seq",)) -> DataFrame:
+    """The place of each block in its document by page and ``order``, counted from 0 without gaps.
 
-    Ordering only needs ``seq``; this is for readers who want the list index.
+    Ordering only needs sort keys; this is for readers who want the list index.
     Pages are counted, page counts are summed within groups of pages and the
     groups within the document, so no window holds a document's blocks.
     """
@@ -152,7 +152,7 @@ def list_positions(blocks: DataFrame) -> DataFrame:
     starts = pages.withColumn("before_page", earlier(["document_name", "page_group"], "page_number")).join(
         groups, ["document_name", "page_group"]
     )
-    on_page = F.row_number().over(W.partitionBy(*PAGE).orderBy("seq")) - 1
+    on_page = F.row_number().over(W.partitionBy(*PAGE).orderBy(*order)) - 1
     return (
         blocks.join(starts.select(*PAGE, (F.col("before_group") + F.col("before_page")).alias("page_start")), PAGE)
         .withColumn("position", (F.col("page_start") + on_page).cast("bigint"))

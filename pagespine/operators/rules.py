@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from pagespine.constants import FIRST_ON_PAGE_SPACE, TITLE_WORDS
-from pagespine.operators.spread import attach
+from pagespine.operators.spread import BUCKET, attach
 from pagespine.operators.traits import with_traits
 
 PAGE = ["document_name", "page_number"]
@@ -34,12 +34,15 @@ def with_space_before(blocks: DataFrame) -> DataFrame:
     )
 
 
-def with_first_block(blocks: DataFrame) -> DataFrame:
-    """Mark the block that comes first in rule order."""
-    first = blocks.groupBy("document_name").agg(F.min("place").alias("first_place"))
-    return attach(blocks, first, ["document_name"]).withColumn(
-        "is_first", F.col("place") == F.col("first_place")
-    ).drop("first_place")
+def first_place() -> Column:
+    """Aggregate: the place of the first block of a document in rule order."""
+    return F.min(rule_order()).alias("first_place")
+
+
+def with_first_place(blocks: DataFrame) -> DataFrame:
+    if "first_place" in blocks.columns:
+        return blocks
+    return attach(blocks, blocks.groupBy("document_name").agg(first_place()), ["document_name"])
 
 
 def heading_score(optional: list[str]) -> Column:
@@ -67,17 +70,19 @@ def score_blocks(blocks: DataFrame) -> DataFrame:
     optional = [name for name in ("is_italics", "is_underline", "is_all_caps") if name in given]
     short = F.col("features.word_count") < TITLE_WORDS
     return (
-        with_first_block(with_space_before(with_traits(blocks).withColumn("place", rule_order())))
+        with_space_before(with_first_place(with_traits(blocks)))
+        .withColumn("place", rule_order())
         .withColumn("heading_score", heading_score(optional))
         .withColumn(
             "predicted_label",
             F.when(F.col("traits.noise"), "Noise")
-            .when(F.col("is_first") & short, "Title")
+            .when((F.col("place") == F.col("first_place")) & short, "Title")
             .otherwise(score_label(F.col("heading_score"))),
         )
+        .drop("first_place", BUCKET)
     )
 
 
 def rule_labels(blocks: DataFrame) -> DataFrame:
     """Labelled blocks without noise; ``place`` keeps the order they are in."""
-    return score_blocks(blocks).filter("predicted_label != 'Noise'").drop("is_first", "heading_score")
+    return score_blocks(blocks).filter("predicted_label != 'Noise'").drop("heading_score")

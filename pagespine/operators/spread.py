@@ -30,11 +30,13 @@ def with_bucket(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn(BUCKET, bucket_of(F.col("page_number"), F.col("seq")))
 
 
-def attach(rows: DataFrame, facts: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+def attach(rows: DataFrame, facts: DataFrame, on: list[str], how: str = "left", places: DataFrame | None = None) -> DataFrame:
     """Join ``facts``, one row per ``on``, to ``rows``.
 
-    ``rows`` is read twice, so give it a stored table when it is costly.
+    The buckets that exist are read from ``places``, or else from ``rows`` once
+    more; give a stored table when ``rows`` is costly.
     """
     rows = rows if BUCKET in rows.columns else with_bucket(rows)
-    places = rows.select(*on, BUCKET).distinct()
-    return rows.join(places.join(facts, on), [*on, BUCKET], how)
+    places = rows if places is None else places
+    spread = places.select(*on, BUCKET).distinct().join(facts, on)
+    return rows.join(spread, [*on, BUCKET], how)

@@ -13,7 +13,7 @@ def with_traits(blocks: DataFrame) -> DataFrame:
     """
     if "traits" in blocks.columns:
         return blocks
-    text = T.strip(F.col("text"))
+    text = F.col("stripped")
     words = F.col("features.word_count")
     traits = F.struct(
         F.when(F.length(text) <= 64, text).otherwise(F.sha2(text, 256)).alias("text_key"),
@@ -23,4 +23,4 @@ def with_traits(blocks: DataFrame) -> DataFrame:
         T.is_upper(text).alias("upper"),
         (T.is_page_number(text) | ((words == 1) & ~T.is_alnum(text))).alias("noise"),
     )
-    return blocks.withColumn("traits", traits)
+    return blocks.withColumn("stripped", T.strip(F.col("text"))).withColumn("traits", traits).drop("stripped")

@@ -90,10 +90,14 @@ def reject_malformed(spark, sf):
     return files.malformed(files.parse_block_files(_block_files(spark, sf)))
 
 
-def rejects(spark, sf):
+def _damaged_lines(spark, sf):
+    """Every eleventh document lacks a coordinate on some lines."""
     gap = (_doc_number() % 11 == 0) & (F.col("line_no") == 0)
-    damaged = tables.lines(spark, sf).withColumn("y1", F.when(~gap, F.col("y1")))
-    return report.unusable_lines(damaged)
+    return tables.lines(spark, sf).withColumn("y1", F.when(~gap, F.col("y1")))
+
+
+def rejects(spark, sf):
+    return report.unusable_lines(_damaged_lines(spark, sf))
 
 
 def write_stage(spark, sf):
@@ -103,7 +107,8 @@ def write_stage(spark, sf):
 
 
 def skipped_documents(spark, sf):
-    return report.skipped_documents(_documents(spark, sf), tables.finished(spark, sf))
+    damaged = _damaged_lines(spark, sf)
+    return report.skipped_documents(_documents(spark, sf), report.usable_lines(damaged, report.unusable_lines(damaged)))
 
 
 def run_report(spark, sf):

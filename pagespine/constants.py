@@ -28,4 +28,5 @@ LINES_PER_STRETCH = 4096
 PAGES_PER_BUCKET = 256
 BLOCKS_PER_BUCKET = 4096
 BLOCKS_PER_TASK = 20000
+BROADCAST_DOCUMENTS = 10000  # under 500 bytes each
 PAGES_PER_OUTLINE_ROW = 4096

@@ -6,8 +6,8 @@ ways to run the rounds agree to the last block:
 
 * Documents that fit a task are grouped, and each group runs its rounds in place.
 * Larger documents advance together, one job per round. Their points are stored
-  once, split by (document, bucket); a round brings the few centers to the points
-  and averages again, combining before the shuffle. Only centers travel.
+  once; a round brings the few centers to the points and averages again, combining
+  before the shuffle.
 """
 
 import numpy as np
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pagespine.constants import BLOCKS_PER_TASK, N_CLUSTERS, RANKED_LABELS, ROUNDS
+from pagespine.constants import BLOCKS_PER_TASK, BROADCAST_DOCUMENTS, N_CLUSTERS, RANKED_LABELS, ROUNDS
 from pagespine.operators.spread import BUCKET, attach
 from pagespine.session import checkpointed
 
@@ -107,23 +107,36 @@ def cluster_small(scaled: DataFrame, n_clusters: int, rounds: int) -> DataFrame:
 
 def _distance(center: str) -> Column:
     """Squared distance of a point to a center; null when the document has no such center."""
-    apart = [F.col(a) - F.col(f"{center}.{a}") for a in AXES]
-    return sum((d * d for d in apart[1:]), apart[0] * apart[0])
+    return F.expr(" + ".join(f"({a} - {center}.{a}) * ({a} - {center}.{a})" for a in AXES))
 
 
 class LargeDocumentKMeans:
     """The same rounds as jobs over all documents of ``scaled``."""
 
-    def __init__(self, scaled: DataFrame, n_clusters: int = N_CLUSTERS, rounds: int = ROUNDS):
+    def __init__(
+        self,
+        scaled: DataFrame,
+        n_clusters: int = N_CLUSTERS,
+        rounds: int = ROUNDS,
+        broadcast_documents: int = BROADCAST_DOCUMENTS,
+    ):
         self.n_clusters, self.rounds = n_clusters, rounds
         self.names = [f"c{j}" for j in range(n_clusters)]
-        splits = int(scaled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        self.points = checkpointed(scaled.repartition(splits, DOC, BUCKET).sortWithinPartitions(DOC, BUCKET))
-        self.places = checkpointed(self.points.select(DOC, BUCKET, "n_blocks").distinct())
+        self.rows = scaled
+        self.points = checkpointed(scaled.select(DOC, BUCKET, "seq", "fontsize", "n_blocks", *AXES))
+        documents = self.points.select(DOC).distinct()
+        self.few = documents.limit(broadcast_documents + 1).count() <= broadcast_documents
+        self.places = None if self.few else checkpointed(self.points.select(DOC, BUCKET).distinct())
 
     def _meet(self, centers: DataFrame) -> DataFrame:
-        """Points beside the centers of their document, without moving the points."""
-        return self.points.join(self.places.select(DOC, BUCKET).join(centers, DOC), [DOC, BUCKET])
+        """Points beside the centers of their document.
+
+        The centers of a counted few documents are broadcast. Those of many
+        are copied to the buckets of their documents and joined there.
+        """
+        if self.few:
+            return self.points.join(F.broadcast(centers), DOC)
+        return self.points.join(self.places.join(centers, DOC), [DOC, BUCKET])
 
     def _measure(self, centers: DataFrame, names: list[str]) -> DataFrame:
         """Points with their distance to each named center and to the nearest of them."""
@@ -163,12 +176,10 @@ class LargeDocumentKMeans:
             .groupBy(DOC)
             .agg(F.map_from_entries(F.collect_list(F.struct("cluster_label", F.struct(*AXES)))).alias("means"))
         )
-        moved = {name: F.coalesce(F.col("means")[j], F.col(name)) for j, name in enumerate(self.names)}
-        steady = F.lit(True)
-        for name, center in moved.items():
-            steady = steady & center.eqNullSafe(F.col(name))
-        return centers.join(means, DOC, "left").select(
-            DOC, *[center.alias(name) for name, center in moved.items()], steady.alias("steady")
+        moved = [f"coalesce(means[{j}], {name})" for j, name in enumerate(self.names)]
+        steady = " AND ".join(f"{new} <=> {name}" for new, name in zip(moved, self.names))
+        return centers.join(means, DOC, "left").selectExpr(
+            DOC, *[f"{new} AS {name}" for new, name in zip(moved, self.names)], f"{steady} AS steady"
         )
 
     def fit(self, centers: DataFrame | None = None) -> DataFrame:
@@ -179,7 +190,8 @@ class LargeDocumentKMeans:
             centers = moved.drop("steady")
             if moved.filter(~F.col("steady")).isEmpty():
                 break
-        return self.assign(centers).drop(*AXES)
+        labels = self.assign(centers).select(DOC, BUCKET, "seq", "cluster_label")
+        return self.rows.drop(*AXES).join(labels, [DOC, BUCKET, "seq"])
 
 
 def cluster_scaled(

@@ -97,7 +97,7 @@ def outlines(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def run(documents: DataFrame, lines: DataFrame, settings: Settings = Settings()) -> dict[str, DataFrame]:
     """All stage tables, the outlines, the rejected documents and the report."""
-    rejects = report.unusable_lines(lines)
+    rejects = stage_table(report.unusable_lines(lines), "rejects")
     lines = report.usable_lines(lines, rejects)
     blocks = stage_table(with_traits(to_blocks(lines, settings)), "blocks")
     labelled = stage_table(label_blocks(blocks, settings), "labelled")

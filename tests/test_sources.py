@@ -1,0 +1,71 @@
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from pagespine.operators import outline
+from pagespine.sources import files, report, sinks
+
+
+def test_base_names(spark):
+    names = ["a.pdf", "a.b.PDF", "a", ".hidden", ".hidden.pdf", "..x", "a.", "日本.pdf"]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, n string")
+    got = [r.out for r in rows.select("i", files.base_name(F.col("n")).alias("out")).orderBy("i").collect()]
+    assert got == [os.path.splitext(n)[0] for n in names]
+
+
+def test_discovery_takes_suffix_in_any_case_and_no_subfolder(spark, tmp_path):
+    for name in ("a.pdf", "B.PDF", "c.txt", "sub/d.pdf"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    found = files.discover_documents(spark, str(tmp_path)).orderBy("filename").collect()
+    assert [(r.filename, r.document_name, r.length) for r in found] == [("B.PDF", "B", 1), ("a.pdf", "a", 1)]
+    assert files.discover_documents(spark, str(tmp_path / "a.pdf")).count() == 1
+
+
+BROKEN = {"cut": '[{"text": "a"}, ', "tail": '[{"text": "a"}] x', "object": '{"text": "a"}', "blank": " ", "numbers": "[1]", "two": '[{"text":"a"}],[]'}
+
+
+def test_block_files(spark, tmp_path):
+    good = [{"text": "Ä\nb", "fontsize": 11, "page_number": 2, "features": {"space_before": 100, "word_count": 2}}, {"text": "c", "document_name": "own"}]
+    (tmp_path / "good.v1.JSON").write_text(json.dumps(good, ensure_ascii=False, indent=2), encoding="utf-8")
+    (tmp_path / "empty.json").write_text("[]")
+    (tmp_path / "other.txt").write_text("[")
+    for name, text in BROKEN.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    (tmp_path / "latin.json").write_bytes('["ä"]'.encode("latin-1"))
+    blocks, left_out = files.read_blocks(spark, str(tmp_path))
+    rows = blocks.orderBy("seq").collect()
+    assert [(r.document_name, r.seq, r.text) for r in rows] == [("good.v1", 0, "Ä\nb"), ("own", 1, "c")]
+    assert rows[0].fontsize == 11.0 and rows[0].features.space_before == 100.0 and rows[0].features.is_italics is None
+    assert {r.document_name for r in left_out.collect()} == {*BROKEN, "latin"}
+
+
+def test_stage_and_outline_files(spark, tmp_path):
+    blocks = spark.createDataFrame(
+        [("d", 0, 0, "Kopf ß", "H1"), ("e", 0, 0, "text", "Body")],
+        "document_name string, seq bigint, page_number int, text string, predicted_label string",
+    )
+    for _ in range(2):
+        sinks.write_stage(blocks, str(tmp_path / "stage"), format="json", per_document=True)
+    assert sorted(p.name for p in (tmp_path / "stage").glob("document_name=*")) == ["document_name=d", "document_name=e"]
+    assert spark.read.json(str(tmp_path / "stage")).count() == 2
+    assert "Kopf ß" in next((tmp_path / "stage" / "document_name=d").glob("*.json")).read_text(encoding="utf-8")
+    made = outline.document_outline(blocks)
+    sinks.write_outlines(made, str(tmp_path / "single"), per_document=True)
+    text = next((tmp_path / "single" / "output_name=d_output.json").glob("part-*")).read_text(encoding="utf-8")
+    assert json.loads(text) == {"title": "Untitled Document", "outline": [{"level": "H1", "text": "Kopf ß", "page": 0}]}
+    sinks.write_outlines(made, str(tmp_path / "lines"))
+    assert spark.read.json(str(tmp_path / "lines")).count() == 2
+    wrapped = outline.wrapped_outline(made).filter("document_name = 'd'").first()
+    assert wrapped.document_info.filename == "d.pdf" and wrapped.document_info.pipeline_stages[0] == "parsing"
+
+
+def test_unusable_lines_cost_only_their_document(make_lines):
+    lines = make_lines([("bad", 0, 0, "a", "X", 1.0), ("bad", 0, 1, "b", "X", 1.0), ("nan", 0, 0, "a", "X", 1.0), ("good", 0, 0, "a", "X", 1.0)])
+    lines = lines.withColumn("text", F.when(F.col("text") != "b", F.col("text")))
+    lines = lines.withColumn("x0", F.when(F.col("document_name") == "nan", F.lit(float("nan"))).otherwise(F.col("x0")))
+    rejects = report.unusable_lines(lines)
+    assert {(r.document_name, r.reason) for r in rejects.collect()} == {("bad", "no text"), ("nan", "no x0")}
+    for limit in (10, 0):
+        assert [r.document_name for r in report.usable_lines(lines, rejects, limit).collect()] == ["good"]

@@ -58,42 +58,46 @@ def scaled_features(blocks: DataFrame) -> DataFrame:
     return scale(attach(blocks, moments, [DOC]))
 
 
-def label_points(points: np.ndarray, start: int, n_clusters: int, rounds: int) -> np.ndarray:
-    """Clusters of one document's points, given in reading order."""
-    def distances(centers):
+def _point_labeller(n_clusters: int, rounds: int):
+    """Arrow UDF that labels the points of each row's document, given in reading order.
+
+    Its functions are local ones and travel with the plan, so executors need
+    NumPy and Arrow but no copy of this package.
+    """
+    def distances(points, centers):
         return ((points[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
 
-    k = min(n_clusters, len(points))
-    chosen = [start]
-    for _ in range(1, k):
-        chosen.append(int(distances(points[chosen]).min(axis=1).argmax()))
-    centers = points[chosen]
-    for _ in range(rounds):
-        labels = distances(centers).argmin(axis=1)
-        counts = np.bincount(labels, minlength=k)
-        sums = np.stack([np.bincount(labels, weights=axis, minlength=k) for axis in points.T], axis=1)
-        means = np.floor(sums / np.maximum(counts, 1)[:, None] + 0.5)
-        moved = np.where(counts[:, None] > 0, means, centers)
-        if (moved == centers).all():
-            break
-        centers = moved
-    return distances(centers).argmin(axis=1)
+    def label_points(points, start):
+        k = min(n_clusters, len(points))
+        chosen = [start]
+        for _ in range(1, k):
+            chosen.append(int(distances(points, points[chosen]).min(axis=1).argmax()))
+        centers = points[chosen]
+        for _ in range(rounds):
+            labels = distances(points, centers).argmin(axis=1)
+            counts = np.bincount(labels, minlength=k)
+            sums = np.stack([np.bincount(labels, weights=axis, minlength=k) for axis in points.T], axis=1)
+            means = np.floor(sums / np.maximum(counts, 1)[:, None] + 0.5)
+            moved = np.where(counts[:, None] > 0, means, centers)
+            if (moved == centers).all():
+                break
+            centers = moved
+        return distances(points, centers).argmin(axis=1)
+
+    def label(points: pa.Array, sizes: pa.Array) -> pa.Array:
+        ends = points.offsets.to_numpy() - points.offsets[0].as_py()
+        coordinates = points.flatten().flatten().to_numpy().reshape(-1, DIMS)
+        heights = sizes.flatten().fill_null(0.0).to_numpy()
+        labels = [label_points(coordinates[a:b], int(np.argmax(heights[a:b]))) for a, b in zip(ends[:-1], ends[1:])]
+        flat = np.concatenate(labels).astype(np.int32) if labels else np.empty(0, np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+    return F.arrow_udf(label, "array<int>")
 
 
 def cluster_small(scaled: DataFrame, n_clusters: int, rounds: int) -> DataFrame:
     """Documents of bounded size: one packed row each, whose points alone go to NumPy."""
-    @F.arrow_udf("array<int>")
-    def label(points: pa.Array, sizes: pa.Array) -> pa.Array:
-        ends = points.offsets.to_numpy()
-        coordinates = points.values.flatten().to_numpy().reshape(-1, DIMS)
-        sizes = sizes.values.fill_null(0.0).to_numpy()
-        labels = [
-            label_points(coordinates[a - ends[0] : b - ends[0]], int(np.argmax(sizes[a:b])), n_clusters, rounds)
-            for a, b in zip(ends[:-1], ends[1:])
-        ]
-        flat = pa.array(np.concatenate(labels).astype(np.int32)) if labels else pa.array([], pa.int32())
-        return pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), flat)
-
+    label = _point_labeller(n_clusters, rounds)
     kept = [c for c in scaled.columns if c not in (DOC, "seq", *AXES)]
     row = F.struct("seq", *kept, F.array(*AXES).alias("point"))
     packed = scaled.groupBy(DOC).agg(F.sort_array(F.collect_list(row)).alias("rows"))

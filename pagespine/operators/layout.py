@@ -52,13 +52,13 @@ def has_long_pages(lines: DataFrame) -> bool:
 
 
 def _opens(previous, style, keyword):
-    return previous.isNotNull() & ((previous != style) | keyword)
+    return previous.isNotNull() & (~previous.eqNullSafe(style) | keyword)
 
 
 def style_changes(lines: DataFrame) -> DataFrame:
     """Mark lines whose style differs from the line before on the page (needs bounded pages)."""
     previous = F.lag(F.struct("fontname", "fontsize")).over(W.partitionBy(*PAGE).orderBy("line_no"))
-    changed = previous.isNotNull() & (previous != F.struct("fontname", "fontsize"))
+    changed = _opens(previous, F.struct("fontname", "fontsize"), F.lit(False))
     return lines.withColumn("style_change", changed)
 
 
@@ -107,13 +107,16 @@ def _stretch_offsets(numbered: DataFrame) -> DataFrame:
 
 
 def fold_blocks(numbered: DataFrame) -> DataFrame:
-    """One row per block: joined text, bounding box, style, page size."""
-    last_style = F.max_by(F.struct("fontname", "fontsize"), "line_no")
+    """One row per block: joined text, bounding box, style, page size.
+
+    All lines of a block have one style, so its greatest value is that of the last line too.
+    """
     return (
         numbered.groupBy(*PAGE, "block_no")
         .agg(
             F.expr("listagg(text, '\\n') WITHIN GROUP (ORDER BY line_no)").alias("text"),
-            last_style.alias("style"),
+            F.max("fontname").alias("fontname"),
+            F.max("fontsize").alias("fontsize"),
             F.struct(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")).alias("bbox"),
             F.max("page_width").alias("page_width"),
             F.max("page_height").alias("page_height"),
@@ -121,7 +124,7 @@ def fold_blocks(numbered: DataFrame) -> DataFrame:
         .select(
             "document_name", "page_number", "block_no",
             reading_key(F.col("page_number"), F.col("block_no")).alias("seq"),
-            "text", "style.*", "bbox", "page_width", "page_height",
+            "text", "fontname", "fontsize", "bbox", "page_width", "page_height",
         )
     )
 

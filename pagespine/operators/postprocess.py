@@ -88,11 +88,21 @@ def demote(blocks: DataFrame, max_words: int = MAX_HEADING_WORDS) -> DataFrame:
     return blocks.withColumn("predicted_label", F.when(unfit, "Body").otherwise(F.col("predicted_label")))
 
 
+def candidates(blocks: DataFrame) -> DataFrame:
+    """Blocks that the corrections may leave a title or heading; the rest is body whatever happens."""
+    return blocks.filter((numbered_label() != "Body") & ~F.col("traits.rejected"))
+
+
+def correct(blocks: DataFrame, repeats: DataFrame, titles: DataFrame, max_words: int = MAX_HEADING_WORDS) -> DataFrame:
+    """Apply the corrections, given what holds for all blocks of the documents."""
+    flagged = attach(with_repeats(blocks, repeats), titles, [DOC], places=blocks)
+    return demote(keep_first_title(override_by_number(flagged)), max_words)
+
+
 def post_process(blocks: DataFrame, pages: int = REPEAT_PAGES, max_words: int = MAX_HEADING_WORDS) -> DataFrame:
     """All corrections. ``place``, if present, is the order that decides which title is first."""
     kept = blocks.columns
     ordered = blocks if "place" in kept else blocks.withColumn("place", list_order())
     ordered = with_traits(with_bucket(ordered))
     repeats = repeated_keys(ordered, pages)
-    flagged = attach(with_repeats(ordered, repeats), first_titles(ordered, repeats), [DOC])
-    return demote(keep_first_title(override_by_number(flagged)), max_words).select(*kept)
+    return correct(ordered, repeats, first_titles(ordered, repeats), max_words).select(*kept)

@@ -18,7 +18,7 @@ def rule_order() -> Column:
 
 
 def with_space_before(blocks: DataFrame) -> DataFrame:
-    """Add the distance to the block above on the page.
+    """Add the distance to the block above on the page, and ``tops_page`` for the block without one.
 
     Blocks at one height have no distance except the first of them, so the
     window runs over the distinct heights of a page and not over its blocks.
@@ -26,23 +26,28 @@ def with_space_before(blocks: DataFrame) -> DataFrame:
     top = F.coalesce(F.col("features.y_coordinate"), F.lit(0.0))
     heights = blocks.groupBy(*PAGE, top.alias("top")).agg(F.min("seq").alias("seq"))
     above = F.lag("top").over(W.partitionBy(*PAGE).orderBy(F.desc("top")))
-    gaps = heights.select(*PAGE, "seq", F.coalesce(above - F.col("top"), F.lit(FIRST_ON_PAGE_SPACE)).alias("gap"))
+    gaps = heights.withColumn("above", above).select(
+        *PAGE, "seq",
+        F.coalesce(F.col("above") - F.col("top"), F.lit(FIRST_ON_PAGE_SPACE)).alias("gap"),
+        F.col("above").isNull().alias("tops_page"),
+    )
     return (
         blocks.join(gaps, [*PAGE, "seq"], "left")
         .withColumn("features", F.col("features").withField("space_before", F.coalesce("gap", F.lit(0.0))))
+        .withColumn("tops_page", F.coalesce("tops_page", F.lit(False)))
         .drop("gap")
     )
 
 
-def first_place() -> Column:
-    """Aggregate: the place of the first block of a document in rule order."""
-    return F.min(rule_order()).alias("first_place")
+def first_page() -> Column:
+    """Aggregate: the page that holds the first block of a document."""
+    return F.min("page_number").alias("first_page")
 
 
-def with_first_place(blocks: DataFrame) -> DataFrame:
-    if "first_place" in blocks.columns:
+def with_first_page(blocks: DataFrame) -> DataFrame:
+    if "first_page" in blocks.columns:
         return blocks
-    return attach(blocks, blocks.groupBy("document_name").agg(first_place()), ["document_name"])
+    return attach(blocks, blocks.groupBy("document_name").agg(first_page()), ["document_name"])
 
 
 def heading_score(optional: list[str]) -> Column:
@@ -68,18 +73,19 @@ def score_blocks(blocks: DataFrame) -> DataFrame:
     """Add ``place``, spacing, score and label; noise is labelled, not yet dropped."""
     given = blocks.schema["features"].dataType.fieldNames()
     optional = [name for name in ("is_italics", "is_underline", "is_all_caps") if name in given]
+    first = F.col("tops_page") & (F.col("page_number") == F.col("first_page"))
     short = F.col("features.word_count") < TITLE_WORDS
     return (
-        with_space_before(with_first_place(with_traits(blocks)))
+        with_space_before(with_first_page(with_traits(blocks)))
         .withColumn("place", rule_order())
         .withColumn("heading_score", heading_score(optional))
         .withColumn(
             "predicted_label",
             F.when(F.col("traits.noise"), "Noise")
-            .when((F.col("place") == F.col("first_place")) & short, "Title")
+            .when(first & short, "Title")
             .otherwise(score_label(F.col("heading_score"))),
         )
-        .drop("first_place", BUCKET)
+        .drop("first_page", "tops_page", BUCKET)
     )
 
 

@@ -39,7 +39,7 @@ def to_blocks(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def document_facts(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """All that labelling asks about a document as a whole, from one pass over its blocks."""
     uniform = style.is_uniform(settings.std_threshold, settings.unique_threshold, settings.min_blocks)
-    facts = blocks.groupBy(DOC).agg(*style.style_columns(), *clusters.moment_columns(), rules.first_place())
+    facts = blocks.groupBy(DOC).agg(*style.style_columns(), *clusters.moment_columns(), rules.first_page())
     return facts.withColumn("is_uniform", uniform).drop("size_std", "n_sizes")
 
 
@@ -56,10 +56,10 @@ def first_labels(blocks: DataFrame, settings: Settings = Settings()) -> DataFram
     """
     facts = stage_table(document_facts(blocks, settings), "facts")
     blocks = with_bucket(with_traits(blocks))
-    ruled = rules.rule_labels(attach(blocks, facts.filter("is_uniform").select(DOC, "first_place"), [DOC], "inner"))
+    ruled = rules.rule_labels(attach(blocks, facts.filter("is_uniform").select(DOC, "first_page"), [DOC], "inner"))
     varied = facts.filter("NOT is_uniform")
     clustered = clusters.cluster_scaled(
-        clusters.scale(attach(blocks, varied.drop("is_uniform", "first_place"), [DOC], "inner")),
+        clusters.scale(attach(blocks, varied.drop("is_uniform", "first_page"), [DOC], "inner")),
         settings.n_clusters,
         settings.rounds,
         settings.task_blocks,
@@ -69,10 +69,9 @@ def first_labels(blocks: DataFrame, settings: Settings = Settings()) -> DataFram
     return ruled.unionByName(ranked, allowMissingColumns=True).drop(BUCKET)
 
 
-def label_blocks(blocks: DataFrame, settings: Settings = Settings(), columns: list[str] | None = None) -> DataFrame:
-    """Blocks with their final labels; only ``columns`` are carried when given."""
-    labels = first_labels(blocks, settings)
-    labelled = stage_table(labels if columns is None else labels.select(*columns), "labels")
+def label_blocks(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Blocks with their final labels."""
+    labelled = stage_table(first_labels(blocks, settings), "labels")
     return postprocess.post_process(labelled, settings.repeat_pages, settings.max_heading_words)
 
 
@@ -88,11 +87,22 @@ def heading_texts(blocks: DataFrame, settings: Settings = Settings()) -> DataFra
 
 
 def outlines(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One outline row per document. Long texts are shuffled once, with the lines."""
+    """One outline row per document.
+
+    Long texts are shuffled once, with the lines. Only blocks that may end as
+    a title or heading go through the joins of the corrections.
+    """
     narrow = stage_table(heading_texts(to_blocks(lines, settings), settings), "blocks")
-    needed = [DOC, "page_number", "seq", "text", "place", "predicted_label", "traits", "features"]
-    labelled = label_blocks(narrow, settings, needed).drop("traits", "features")
-    return outline.document_outline(stage_table(labelled, "labelled"))
+    needed = [DOC, "page_number", "seq", "text", "place", "predicted_label", "traits", "features.word_count"]
+    labelled = stage_table(first_labels(narrow, settings).select(*needed), "labels")
+    repeats = postprocess.repeated_keys(labelled, settings.repeat_pages)
+    heads = postprocess.correct(
+        with_bucket(postprocess.candidates(labelled).withColumn("features", F.struct("word_count"))),
+        repeats,
+        postprocess.first_titles(labelled, repeats),
+        settings.max_heading_words,
+    ).select(DOC, "page_number", "seq", "text", "place", "predicted_label")
+    return outline.document_outline(stage_table(heads, "heads"), documents=labelled)
 
 
 def run(documents: DataFrame, lines: DataFrame, settings: Settings = Settings()) -> dict[str, DataFrame]:

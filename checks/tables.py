@@ -3,8 +3,8 @@
 The documents are plain text, so their layout is derived: every line is wrapped
 after ten words, twelve wrapped lines make a page, and style and position follow
 from the numbers of document and line. Some lines get a prefix (numbers, dates,
-citations) and some pages extra lines (running headers, page numbers, contents
-entries), because plain prose meets few of the text tests. All words of all
+citations) and some pages extra lines in a font of their own (running headers, page
+numbers, contents entries), because plain prose meets few of the text tests. All words of all
 documents are kept.
 """
 
@@ -49,13 +49,14 @@ FROM (
                      WHEN h = 2 THEN 'Chapter 1 Scope ........ 7'
                      WHEN h = 4 THEN '--------!!'
                      WHEN h = 5 THEN '(3.14) - 2/7'
-                     WHEN h = 8 THEN concat('Annex ', n)
+                     WHEN h = 8 THEN concat('Annex', n)
                      WHEN h = 10 THEN '   '
                      WHEN h = 12 THEN '***'
                      WHEN h = 14 THEN '[7]'
-                     WHEN h = 17 THEN concat('3.', n, ' Terms')
+                     WHEN h = 17 THEN concat('3.', n, '.1 Terms')
                      WHEN h = 18 THEN concat('NOTES ON PART ', n) END END AS text,
-         CASE WHEN h IN (6, 7, 9, 13, 17, 18) OR n = 0 THEN 'Helvetica-Bold'
+         CASE WHEN k = 1 AND h IN (17, 18) THEN 'Courier-Bold' WHEN k = 1 THEN 'Courier'
+              WHEN h IN (6, 7, 9, 13, 17, 18) OR n = 0 THEN 'Helvetica-Bold'
               WHEN h IN (0, 1, 2, 3, 4, 5, 8, 12, 14) THEN 'Times' ELSE 'Helvetica' END AS fontname,
          CAST(CASE WHEN doc_id % 3 = 0 THEN 11.0 WHEN n = 0 THEN 24.0 WHEN h IN (7, 13, 18) THEN 18.0
                    WHEN h IN (6, 17) THEN 15.0 WHEN h IN (9, 11) THEN 13.0

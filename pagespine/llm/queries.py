@@ -1,7 +1,7 @@
 """The operators of this subpackage as queries over the given tables."""
 
 import corpus_pipeline
-from pagespine.llm import pii, quality, secrets
+from pagespine.llm import licenses, pii, quality, secrets, warc
 
 
 def _table(spark, sf_dir, name):
@@ -16,6 +16,15 @@ def op2_secrets(spark, sf_dir):
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
+def op8_licenses(spark, sf_dir):
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark, sf_dir):
+    found = warc.archive(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured")
+
+
 def op10_quality_rules(spark, sf_dir):
     book = quality.ledger(_table(spark, sf_dir, "documents"))
     return book.select(
@@ -24,6 +33,6 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op8_licenses, op9_warc, op10_quality_rules)}
 
 ORACLES = {}

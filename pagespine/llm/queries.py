@@ -1,7 +1,7 @@
 """The operators of this subpackage as queries over the given tables."""
 
 import corpus_pipeline
-from pagespine.llm import licenses, pii, quality, secrets, warc
+from pagespine.llm import languages, licenses, packing, pii, quality, secrets, warc
 
 
 def _table(spark, sf_dir, name):
@@ -16,6 +16,14 @@ def op2_secrets(spark, sf_dir):
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op5_languages(spark, sf_dir):
+    return languages.identify(_table(spark, sf_dir, "documents"))
+
+
 def op8_licenses(spark, sf_dir):
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -33,6 +41,6 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op8_licenses, op9_warc, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op4_packing, op5_languages, op8_licenses, op9_warc, op10_quality_rules)}
 
 ORACLES = {}

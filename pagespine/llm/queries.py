@@ -1,7 +1,9 @@
 """The operators of this subpackage as queries over the given tables."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from pagespine.llm import languages, licenses, packing, pii, quality, secrets, warc
+from pagespine.llm import contamination, languages, licenses, packing, pii, quality, secrets, warc
 
 
 def _table(spark, sf_dir, name):
@@ -24,6 +26,16 @@ def op5_languages(spark, sf_dir):
     return languages.identify(_table(spark, sf_dir, "documents"))
 
 
+def op6_contamination(spark, sf_dir):
+    found = contamination.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("hits", F.lit(0).cast("long"), lambda total, x: total + x["e"] - x["s"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"),
+        F.array_max(F.transform("matches", lambda m: m["length"])).alias("longest"),
+    )
+
+
 def op8_licenses(spark, sf_dir):
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +53,6 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op4_packing, op5_languages, op8_licenses, op9_warc, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op4_packing, op5_languages, op6_contamination, op8_licenses, op9_warc, op10_quality_rules)}
 
 ORACLES = {}

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pagespine.llm import contamination, languages, licenses, packing, pii, quality, secrets, warc
+from pagespine.llm import contamination, languages, licenses, near_duplicates, packing, pii, quality, secrets, warc
 
 
 def _table(spark, sf_dir, name):
@@ -18,6 +18,10 @@ def op2_secrets(spark, sf_dir):
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
+def op3_near_duplicates(spark, sf_dir):
+    return near_duplicates.scan(_table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,6 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op4_packing, op5_languages, op6_contamination, op8_licenses, op9_warc, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op3_near_duplicates, op4_packing, op5_languages, op6_contamination, op8_licenses, op9_warc, op10_quality_rules)}
 
 ORACLES = {}

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pagespine.llm import contamination, languages, licenses, near_duplicates, packing, pii, quality, secrets, warc
+from pagespine.llm import contamination, languages, licenses, lines, near_duplicates, packing, pii, quality, secrets, warc
 
 
 def _table(spark, sf_dir, name):
@@ -40,6 +40,10 @@ def op6_contamination(spark, sf_dir):
     )
 
 
+def op7_line_dedup(spark, sf_dir):
+    return lines.scan(_table(spark, sf_dir, "documents"))
+
+
 def op8_licenses(spark, sf_dir):
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,13 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op3_near_duplicates, op4_packing, op5_languages, op6_contamination, op8_licenses, op9_warc, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pii, op2_secrets, op3_near_duplicates, op4_packing, op5_languages, op6_contamination, op7_line_dedup,
+        op8_licenses, op9_warc, op10_quality_rules,
+    )
+}
+QUERIES["pipeline"] = corpus_pipeline.run
 
-ORACLES = {}
+ORACLES = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

@@ -2,14 +2,16 @@
 
 1. Documents with the same set of shingles become one node. Its signature is cut into bands;
    nodes with an equal band share a bucket.
-2. In each bucket the smallest node is compared with all others (a star, not all pairs). Links
+2. In each bucket the node with the smallest set is compared with all others (a star, not all pairs). Links
    are confirmed on the full sets, and linked nodes become parts of one component.
 3. Buckets that still hold several parts: small ones have the pairs between their parts compared. The nodes
-   of larger ones (documents around one common passage, say) get a deeper signature, whose bands are so long
-   that only really similar sets meet; there again the star comes first, and then what is left.
+   of larger ones (documents around one common passage, say) meet by the rarest quarter of their shingles instead.
+   That is exact: linked sets have at least three quarters of either in common, hence one of the rarest quarter and
+   one more, in any order of shingles. What a whole crowd shares comes last in the order. There again the star comes first,
+   and then what is left.
 
 No pair within one part is ever formed, so a group of copies costs one comparison per node.
-Two sets of similarity 0.75 meet in no bucket with probability 1e-6, at either depth; nothing else loses a link.
+Two sets of similarity 0.75 meet in no bucket of the first kind with probability 1e-6; nothing else loses a link.
 
 Cases: a null text, or one without words, has no shingles and is linked with nothing; a text of fewer than five
 words has its whole sequence as its only shingle. Repeated rows stay, each with the same result. Null ids
@@ -31,11 +33,13 @@ from pagespine.session import stage_table
 
 #: Share of the union, in percent, that a link needs.
 SIMILARITY = 75
-#: Rows of a band and number of bands, of the first and of the deeper signature.
+#: Rows of a band and number of bands.
 ROWS, BANDS = 4, 36
-DEEP_ROWS, DEEP_BANDS = 8, 130
-#: Buckets of more nodes go to the deeper signature.
+#: Nodes of larger buckets meet by their rarest shingles.
 SMALL = 8
+#: Shingles that come last in the order of shingles: so many nodes have them, and no more are listed. Any list gives
+#: the same links; it only saves comparisons.
+FREQUENT, LISTED = 8, 200_000
 #: A star's or a pair's side is spread over so many tasks.
 SALTS = 32
 #: Keys (16 bytes each) that may be broadcast, once they have been counted.
@@ -63,12 +67,25 @@ def _name(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def _deep_bands():
-    def deep(sets: pa.Array) -> pa.Array:
-        found = [bands(signature(s.values.to_numpy().view(np.uint64), DEEP_ROWS * DEEP_BANDS), DEEP_ROWS) for s in sets]
+def _rarest(sets: DataFrame):
+    """A column function: the shingles of a set (of ``sets``) by which it must meet every set that it is linked with."""
+    counts = sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count().filter(F.col("count") >= FREQUENT)
+    listed = [r.shingle for r in counts.orderBy(F.desc("count"), "shingle").limit(LISTED).collect()]
+    last = sets.sparkSession.sparkContext.broadcast(np.array(listed[::-1], np.int64))
+
+    def rarest(shingles: pa.Array) -> pa.Array:
+        order = np.argsort(last.value, kind="stable")
+        names, found = last.value[order], []
+        for one in shingles:
+            one = one.values.to_numpy()
+            place = np.searchsorted(names, one)
+            place[place == len(names)] = 0
+            rank = np.where(names[place] == one, order[place] + 1, 0) if len(names) else np.zeros(len(one), np.int64)
+            enough = len(one) - -(-SIMILARITY * len(one) // 100) + 1
+            found.append(one[np.lexsort((one, rank))[:enough]])
         return pa.array(found, pa.list_(pa.int64()))
 
-    return F.arrow_udf(deep, "array<long>").asNondeterministic()
+    return F.arrow_udf(rarest, "array<long>").asNondeterministic()
 
 
 def _row_key() -> Column:
@@ -82,8 +99,8 @@ def _sizes_allow() -> Column:
 
 
 def _shared(buckets: DataFrame) -> DataFrame:
-    """Members of the buckets with several nodes, with the bucket's smallest node and its number of nodes."""
-    smallest = buckets.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    """Members of the buckets with several nodes, with the bucket's smallest set and its number of nodes."""
+    smallest = buckets.groupBy("bucket").agg(F.min(F.struct("size", "node")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     salted = smallest.withColumn("salt", F.explode(F.when(F.col("n") > 256, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(-1)))))
     # Members of large buckets meet their first node in several tasks; all others know no salt.
     hot = salted.filter("salt >= 0")
@@ -115,6 +132,12 @@ def _across(divided: DataFrame) -> DataFrame:
     return pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
+def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    low, high = F.least("a", "b"), F.greatest("a", "b")
+    keyed = pairs.withColumns({"low": low, "high": high})
+    return keyed.join(tried.select(low.alias("low"), high.alias("high")), ["low", "high"], "left_anti").select("a", "b")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough.
 
@@ -159,11 +182,14 @@ def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
     pairs = _across(divided.filter(F.col("n") <= SMALL))
 
     large = divided.filter(F.col("n") > SMALL).select("node", "size").distinct()
-    bands_of = large.join(sets, "node").select("node", "size", F.explode(_deep_bands()("shingles")).alias("bucket"))
-    deep = stage_table(_shared(stage_table(bands_of, "deep-bands")), "deep-shared")
-    pairs = pairs.union(_stars(deep)).distinct()
-    labels = merged(labels, _confirmed(pairs.join(stars, ["a", "b"], "left_anti"), sets))
-    return merged(labels, _confirmed(_across(_divided(deep, labels)), sets))
+    large = stage_table(large.join(sets, "node"), "large")
+    rarest = large.select("node", "size", F.explode(_rarest(large)("shingles")).alias("bucket"))
+    close = stage_table(_shared(stage_table(rarest, "rarest")), "close")
+    # Heads are the first of their pairs, so that _confirmed spreads them.
+    more = stage_table(_untried(pairs, stars).union(_untried(_stars(close), stars)).distinct(), "more")
+    labels = merged(labels, _confirmed(more, sets))
+    left = stage_table(_untried(_untried(_across(_divided(close, labels)), stars), more), "left")
+    return merged(labels, _confirmed(left, sets))
 
 
 def _components(docs: DataFrame) -> DataFrame:

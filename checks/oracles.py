@@ -129,14 +129,13 @@ CTES = {
     "titles": """
         SELECT document_name, arg_min(text, (page_number, place)) AS title FROM final WHERE label_4 = 'Title' GROUP BY document_name""",
     "outlines": """
-        SELECT document_name, 0 AS part, coalesce(any_value(title), 'Untitled Document') AS title,
+        SELECT document_name, coalesce(any_value(title), 'Untitled Document') AS title,
                coalesce(list({'level': label_4, 'text': text, 'page': page_number} ORDER BY page_number, place)
                         FILTER (WHERE label_4 IN ('H1', 'H2', 'H3')), []) AS outline
         FROM final LEFT JOIN titles USING (document_name) GROUP BY document_name""",
 }
 
 SQUARES = " + ".join(f"(p.{a} - c.{a}) * (p.{a} - c.{a})" for a in AXES)
-ROUNDS = 10
 for j in range(1, 5):
     CTES[f"seed_{j}"] = f"""
         SELECT document_name, {j} AS k, {', '.join(AXES)} FROM (
@@ -144,34 +143,41 @@ for j in range(1, 5):
             SELECT p.document_name, p.seq, {', '.join(f'p.{a}' for a in AXES)}, min({SQUARES}) AS d
             FROM scaled p JOIN centers_{j} c USING (document_name) WHERE p.n > {j} GROUP BY ALL)) WHERE r = 1"""
     CTES[f"centers_{j + 1}"] = f"SELECT * FROM centers_{j} UNION ALL SELECT * FROM seed_{j}"
-for t in range(ROUNDS):
-    CTES[f"nearest_{t}"] = f"""
-        SELECT document_name, seq, {', '.join(AXES)}, arg_min(k, (d, k)) AS k FROM (
-          SELECT p.*, c.k, {SQUARES} AS d FROM scaled p JOIN centers_{5 + t} c USING (document_name)) GROUP BY ALL"""
-    CTES[f"centers_{6 + t}"] = f"""
-        SELECT c.document_name, c.k, {', '.join(f'coalesce(m.{a}, c.{a}) AS {a}' for a in AXES)}
-        FROM centers_{5 + t} c LEFT JOIN (
-          SELECT document_name, k, {', '.join(f'floor(sum({a}) / count(*) + 0.5) AS {a}' for a in AXES)}
-          FROM nearest_{t} GROUP BY document_name, k) m USING (document_name, k)"""
+APART = " + ".join(f"(p.{a} - c[{i + 1}]) * (p.{a} - c[{i + 1}])" for i, a in enumerate(AXES))
+NEAREST = f"list_transform(centers, lambda c: {APART})"
+CTES["steps"] = f"""
+    SELECT document_name, list([{', '.join(AXES)}] ORDER BY k) AS centers, 0 AS t, true AS moves,
+           [list([{', '.join(AXES)}] ORDER BY k)] AS seen FROM centers_5 GROUP BY document_name
+    UNION ALL
+    SELECT document_name, next AS centers, t + 1 AS t, NOT list_contains(seen, next) AS moves, list_append(seen, next) AS seen FROM (
+      SELECT document_name, any_value(t) AS t, any_value(seen) AS seen,
+             list_transform(range(1, len(any_value(centers)) + 1), lambda j: coalesce(map_from_entries(list((k, mean)))[j], any_value(centers)[j])) AS next
+      FROM (SELECT document_name, k, any_value(t) AS t, any_value(seen) AS seen, any_value(centers) AS centers,
+                   [{', '.join(f'floor(sum({a}) / count(*) + 0.5)' for a in AXES)}] AS mean
+            FROM (SELECT p.*, t, seen, centers, list_position({NEAREST}, list_min({NEAREST})) AS k
+                  FROM scaled p JOIN steps USING (document_name) WHERE moves) GROUP BY document_name, k) GROUP BY document_name)"""
+CTES["settled"] = "SELECT document_name, arg_max(centers, t) AS centers FROM steps GROUP BY document_name"
 CTES["assigned"] = f"""
-    SELECT document_name, seq, CAST(arg_min(k, (d, k)) AS INT) AS k FROM (
-      SELECT p.document_name, p.seq, c.k, {SQUARES} AS d FROM scaled p JOIN centers_{5 + ROUNDS} c USING (document_name))
-    GROUP BY document_name, seq"""
+    SELECT document_name, seq, CAST(list_position({NEAREST}, list_min({NEAREST})) - 1 AS INT) AS k
+    FROM scaled p JOIN settled USING (document_name)"""
 
 
 def sql(select: str) -> str:
     """The statement with the common tables it needs, in order of need."""
     needed: list[str] = []
+    open_names: list[str] = []  # a recursive table names itself
 
     def visit(text):
         for name in re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", text):
-            if name in CTES and name not in needed:
+            if name in CTES and name not in needed and name not in open_names:
+                open_names.append(name)
                 visit(CTES[name])
+                open_names.remove(name)
                 needed.append(name)
 
     visit(select)
-    tables = ",\n".join(f"{name} AS MATERIALIZED ({CTES[name]})" for name in needed)
-    return f"WITH {tables}\n{select}" if needed else select
+    tables = ",\n".join(f"{name} AS {'' if name == 'steps' else 'MATERIALIZED '}({CTES[name]})" for name in needed)
+    return f"WITH RECURSIVE {tables}\n{select}" if needed else select
 
 
 BLOCK = "document_name, page_number, seq"
@@ -262,7 +268,7 @@ SELECTS = {
     "outline_order": "SELECT document_name, seq, row_number() OVER (PARTITION BY document_name ORDER BY page_number, place) - 1 AS position FROM final",
     "document_title": "SELECT * FROM titles",
     "headings": "SELECT document_name, seq, label_4 AS level, text, page_number AS page FROM final WHERE label_4 IN ('H1', 'H2', 'H3')",
-    "document_outline": f"SELECT document_name, part, title, len(outline) AS n_headings, CAST({JSON_OUTLINE} AS VARCHAR) AS outline FROM outlines",
+    "document_outline": f"SELECT document_name, title, len(outline) AS n_headings, CAST({JSON_OUTLINE} AS VARCHAR) AS outline FROM outlines",
     "empty_outlines": "SELECT document_name, len(outline) AS n_headings FROM outlines WHERE len(outline) = 0",
-    "outlines_end_to_end": f"SELECT document_name, part, title, CAST({JSON_OUTLINE} AS VARCHAR) AS outline FROM outlines",
+    "outlines_end_to_end": f"SELECT document_name, title, CAST({JSON_OUTLINE} AS VARCHAR) AS outline FROM outlines",
 }

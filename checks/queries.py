@@ -330,7 +330,7 @@ def headings(spark, sf):
 
 
 def document_outline(spark, sf):
-    return _outlines(spark, sf).select(DOC, "part", "title", F.size("outline").alias("n_headings"), _json_outline())
+    return _outlines(spark, sf).select(DOC, "title", F.size("outline").alias("n_headings"), _json_outline())
 
 
 def empty_outlines(spark, sf):
@@ -338,7 +338,7 @@ def empty_outlines(spark, sf):
 
 
 def outlines_end_to_end(spark, sf):
-    return plan.outlines(tables.lines(spark, sf)).select(DOC, "part", "title", _json_outline())
+    return plan.outlines(tables.lines(spark, sf)).select(DOC, "title", _json_outline())
 
 
 PREDICATES = {

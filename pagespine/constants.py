@@ -13,7 +13,6 @@ STAGES = ("parsing", "build_vectors", "cluster_and_label", "generate_outline")
 
 # Defaults that a caller may override.
 N_CLUSTERS = 5
-ROUNDS = 10
 MIN_BLOCKS = 10
 STD_THRESHOLD = 0.5
 UNIQUE_THRESHOLD = 2
@@ -28,5 +27,5 @@ LINES_PER_STRETCH = 4096
 PAGES_PER_BUCKET = 256
 BLOCKS_PER_BUCKET = 4096
 BLOCKS_PER_TASK = 20000
-BROADCAST_DOCUMENTS = 10000  # under 500 bytes each
-PAGES_PER_OUTLINE_ROW = 4096
+BROADCAST_DOCUMENTS = 10000  # names only
+BROADCAST_BYTES = 8 << 20

@@ -8,15 +8,20 @@ ways to run the rounds agree to the last block:
 * Larger documents advance together, one job per round. Their points are stored
   once; a round brings the few centers to the points and averages again, combining
   before the shuffle.
+
+Rounds go on until no center of the document moves. Whole-number means can in principle
+return to an earlier state; such a document stops there and is marked as not settled.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pagespine.constants import BLOCKS_PER_TASK, BROADCAST_DOCUMENTS, N_CLUSTERS, RANKED_LABELS, ROUNDS
+from pagespine.constants import BLOCKS_PER_TASK, BROADCAST_BYTES, N_CLUSTERS, RANKED_LABELS
 from pagespine.operators.spread import BUCKET, attach
 from pagespine.session import checkpointed
 
@@ -58,8 +63,8 @@ def scaled_features(blocks: DataFrame) -> DataFrame:
     return scale(attach(blocks, moments, [DOC]))
 
 
-def _point_labeller(n_clusters: int, rounds: int):
-    """Arrow UDF that labels the points of each row's document, given in reading order.
+def _point_labeller(n_clusters: int):
+    """Arrow UDF that labels the points of each row's document, given in reading order, and tells whether they settled.
 
     Its functions are local ones and travel with the plan, so executors need
     NumPy and Arrow but no copy of this package.
@@ -72,40 +77,42 @@ def _point_labeller(n_clusters: int, rounds: int):
         chosen = [start]
         for _ in range(1, k):
             chosen.append(int(distances(points, points[chosen]).min(axis=1).argmax()))
-        centers = points[chosen]
-        for _ in range(rounds):
+        centers, seen, settled = points[chosen], set(), False
+        while not settled and centers.tobytes() not in seen:
+            seen.add(centers.tobytes())
             labels = distances(points, centers).argmin(axis=1)
             counts = np.bincount(labels, minlength=k)
             sums = np.stack([np.bincount(labels, weights=axis, minlength=k) for axis in points.T], axis=1)
             means = np.floor(sums / np.maximum(counts, 1)[:, None] + 0.5)
             moved = np.where(counts[:, None] > 0, means, centers)
-            if (moved == centers).all():
-                break
+            settled = bool((moved == centers).all())
             centers = moved
-        return distances(points, centers).argmin(axis=1)
+        return distances(points, centers).argmin(axis=1), settled
 
     def label(points: pa.Array, sizes: pa.Array) -> pa.Array:
         ends = points.offsets.to_numpy() - points.offsets[0].as_py()
         coordinates = points.flatten().flatten().to_numpy().reshape(-1, DIMS)
         heights = sizes.flatten().fill_null(0.0).to_numpy()
-        labels = [label_points(coordinates[a:b], int(np.argmax(heights[a:b]))) for a, b in zip(ends[:-1], ends[1:])]
-        flat = np.concatenate(labels).astype(np.int32) if labels else np.empty(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        found = [label_points(coordinates[a:b], int(np.argmax(heights[a:b]))) for a, b in zip(ends[:-1], ends[1:])]
+        flat = np.concatenate([labels for labels, _ in found]).astype(np.int32) if found else np.empty(0, np.int32)
+        labels = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+        return pa.StructArray.from_arrays([labels, pa.array([settled for _, settled in found], pa.bool_())], ["labels", "settled"])
 
-    return F.arrow_udf(label, "array<int>")
+    return F.arrow_udf(label, "labels array<int>, settled boolean")
 
 
-def cluster_small(scaled: DataFrame, n_clusters: int, rounds: int) -> DataFrame:
+def cluster_small(scaled: DataFrame, n_clusters: int = N_CLUSTERS) -> DataFrame:
     """Documents of bounded size: one packed row each, whose points alone go to NumPy."""
-    label = _point_labeller(n_clusters, rounds)
+    label = _point_labeller(n_clusters)
     kept = [c for c in scaled.columns if c not in (DOC, "seq", *AXES)]
     row = F.struct("seq", *kept, F.array(*AXES).alias("point"))
     packed = scaled.groupBy(DOC).agg(F.sort_array(F.collect_list(row)).alias("rows"))
-    labelled = packed.select(DOC, "rows", label(F.col("rows.point"), F.col("rows.fontsize")).alias("labels"))
-    pair = labelled.select(DOC, F.explode(F.arrays_zip("rows", "labels")).alias("pair"))
+    labelled = packed.select(DOC, "rows", label(F.col("rows.point"), F.col("rows.fontsize")).alias("found"))
+    labelled = labelled.select(DOC, "rows", "found.labels", "found.settled")
+    pair = labelled.select(DOC, "settled", F.explode(F.arrays_zip("rows", "labels")).alias("pair"))
     return pair.select(
         DOC, F.col("pair.rows.seq").alias("seq"), *[F.col(f"pair.rows.{c}").alias(c) for c in kept],
-        F.col("pair.labels").alias("cluster_label"),
+        F.col("pair.labels").alias("cluster_label"), "settled",
     )
 
 
@@ -121,15 +128,16 @@ class LargeDocumentKMeans:
         self,
         scaled: DataFrame,
         n_clusters: int = N_CLUSTERS,
-        rounds: int = ROUNDS,
-        broadcast_documents: int = BROADCAST_DOCUMENTS,
+        broadcast_bytes: int = BROADCAST_BYTES,
     ):
-        self.n_clusters, self.rounds = n_clusters, rounds
+        self.n_clusters = n_clusters
         self.names = [f"c{j}" for j in range(n_clusters)]
         self.rows = scaled
         self.points = checkpointed(scaled.select(DOC, BUCKET, "seq", "fontsize", "n_blocks", *AXES))
         documents = self.points.select(DOC).distinct()
-        self.few = documents.limit(broadcast_documents + 1).count() <= broadcast_documents
+        # A document's row holds n_clusters points and its name.
+        most = broadcast_bytes // (256 + n_clusters * DIMS * 8)
+        self.few = documents.limit(most + 1).count() <= most
         self.places = None if self.few else checkpointed(self.points.select(DOC, BUCKET).distinct())
 
     def _meet(self, centers: DataFrame) -> DataFrame:
@@ -186,38 +194,48 @@ class LargeDocumentKMeans:
             DOC, *[f"{new} AS {name}" for new, name in zip(moved, self.names)], f"{steady} AS steady"
         )
 
-    def fit(self, centers: DataFrame | None = None) -> DataFrame:
-        """Blocks with ``cluster_label``. Stops early once no center of any document moves."""
+    def settle(self, centers: DataFrame | None = None) -> DataFrame:
+        """Centers that move no more, with ``settled``; false where a document came back to an earlier state.
+
+        A document that is done leaves the rounds, so the last ones work on few points.
+        """
+        state = F.xxhash64(*self.names)
         centers = self.seeds() if centers is None else centers
-        for _ in range(self.rounds):
-            moved = checkpointed(self.move(centers))
-            centers = moved.drop("steady")
-            if moved.filter(~F.col("steady")).isEmpty():
-                break
-        labels = self.assign(centers).select(DOC, BUCKET, "seq", "cluster_label")
+        moving = checkpointed(centers.select(DOC, *self.names, F.array(state).alias("seen")))
+        finished = []
+        while not moving.isEmpty():
+            moved = self.move(moving.drop("seen")).join(moving.select(DOC, "seen"), DOC)
+            moved = checkpointed(moved.withColumn("back", ~F.col("steady") & F.array_contains("seen", state)))
+            finished.append(moved.filter("steady OR back").select(DOC, *self.names, F.col("steady").alias("settled")))
+            moving = moved.filter("NOT steady AND NOT back").select(DOC, *self.names, F.concat("seen", F.array(state)).alias("seen"))
+        return reduce(DataFrame.unionByName, finished)
+
+    def fit(self, centers: DataFrame | None = None) -> DataFrame:
+        """Blocks with ``cluster_label`` and ``settled``."""
+        centers = checkpointed(self.settle(centers))
+        labels = self.assign(centers).select(DOC, BUCKET, "seq", "cluster_label", "settled")
         return self.rows.drop(*AXES).join(labels, [DOC, BUCKET, "seq"])
 
 
 def cluster_scaled(
     scaled: DataFrame,
     n_clusters: int = N_CLUSTERS,
-    rounds: int = ROUNDS,
     task_blocks: int = BLOCKS_PER_TASK,
     any_large: bool | None = None,
 ) -> DataFrame:
-    """Add ``cluster_label``, each document in the way that suits its size."""
+    """Add ``cluster_label`` and ``settled``, each document in the way that suits its size."""
     large = scaled.filter(F.col("n_blocks") > task_blocks)
     if any_large is None:
         any_large = not large.isEmpty()
-    small = cluster_small(scaled.filter(F.col("n_blocks") <= task_blocks), n_clusters, rounds)
+    small = cluster_small(scaled.filter(F.col("n_blocks") <= task_blocks), n_clusters)
     if not any_large:
         return small
-    return small.unionByName(LargeDocumentKMeans(large, n_clusters, rounds).fit())
+    return small.unionByName(LargeDocumentKMeans(large, n_clusters).fit())
 
 
-def cluster_blocks(blocks: DataFrame, n_clusters: int = N_CLUSTERS, rounds: int = ROUNDS, task_blocks: int = BLOCKS_PER_TASK) -> DataFrame:
+def cluster_blocks(blocks: DataFrame, n_clusters: int = N_CLUSTERS, task_blocks: int = BLOCKS_PER_TASK) -> DataFrame:
     """Scale and cluster. Give it a stored table."""
-    return cluster_scaled(scaled_features(blocks), n_clusters, rounds, task_blocks).drop("n_blocks", BUCKET)
+    return cluster_scaled(scaled_features(blocks), n_clusters, task_blocks).drop("n_blocks", BUCKET)
 
 
 def cluster_fonts(blocks: DataFrame) -> DataFrame:

@@ -20,7 +20,6 @@ DOC = "document_name"
 class Settings:
     heading_keywords: tuple = C.HEADING_KEYWORDS
     n_clusters: int = C.N_CLUSTERS
-    rounds: int = C.ROUNDS
     task_blocks: int = C.BLOCKS_PER_TASK
     std_threshold: float = C.STD_THRESHOLD
     unique_threshold: int = C.UNIQUE_THRESHOLD
@@ -61,7 +60,6 @@ def first_labels(blocks: DataFrame, settings: Settings = Settings()) -> DataFram
     clustered = clusters.cluster_scaled(
         clusters.scale(attach(blocks, varied.drop("is_uniform", "first_page"), [DOC], "inner")),
         settings.n_clusters,
-        settings.rounds,
         settings.task_blocks,
         any_large=not varied.filter(F.col("n_blocks") > settings.task_blocks).isEmpty(),
     ).drop("n_blocks")

@@ -84,11 +84,17 @@ def test_outline(make_blocks):
     ])
     rows = {r.document_name: (r.title, [tuple(i) for i in r.outline]) for r in outline.document_outline(blocks).collect()}
     assert rows == {"d": ("The\ntitle", [("H1", "Sooner", 0), ("H2", "Later", 1), ("H3", "Far", 9)]), "e": ("Untitled Document", [])}
-    parts = outline.document_outline(blocks, pages_per_row=5).filter("document_name = 'd'").orderBy("part").collect()
-    assert [(r.part, r.title, len(r.outline)) for r in parts] == [(0, "The\ntitle", 2), (1, "The\ntitle", 1)]
     assert [r.document_name for r in outline.empty_outlines(outline.document_outline(blocks)).collect()] == ["e"]
 
 
+@pytest.mark.parametrize("pages", [[0, 5000], [5000]])
+def test_outline_is_one_row_however_far_its_pages_lie(make_blocks, pages):
+    made = outline.document_outline(make_blocks([("d", page, f"Part {page}", "H1") for page in pages]))
+    (row,) = made.collect()
+    assert [i.page for i in row.outline] == pages
+    assert [r.output_name for r in outline.outline_json(made).collect()] == ["d_output.json"]
+
+
 def test_upper_edge_orders_outline_when_present(make_blocks):
     blocks = make_blocks([("d", 0, "Low", "H1"), ("d", 0, "High", "H1")]).withColumn("y0_top", F.col("seq") * 10.0)
     assert [i.text for i in outline.document_outline(blocks).first().outline] == ["High", "Low"]
@@ -118,7 +124,7 @@ def random_documents():
     return documents
 
 
-def brute_force(points, k=5, rounds=10):
+def brute_force(points, k=5, more_rounds=0):
     """Whole-number Lloyd, point by point."""
     points = np.asarray(points, dtype=float)
     std = np.round(points.std(axis=0), 9)
@@ -128,10 +134,15 @@ def brute_force(points, k=5, rounds=10):
     while len(centers) < k:
         far = [min(((p - c) ** 2).sum() for c in centers) for p in z]
         centers.append(z[max(range(len(z)), key=lambda i: (far[i], -i))])
-    for _ in range(rounds + 1):
+    seen = []
+    while True:
         labels = [min(range(k), key=lambda j: (((p - centers[j]) ** 2).sum(), j)) for p in z]
-        if _ == rounds:
-            return labels
+        state = np.array(centers).tobytes()
+        if state in seen:
+            more_rounds -= 1
+            if more_rounds < 0:
+                return labels
+        seen.append(state)
         for j in range(k):
             members = z[[i for i, label in enumerate(labels) if label == j]]
             if len(members):
@@ -151,14 +162,30 @@ def test_kmeans_ways_agree_with_brute_force(spark, monkeypatch, way):
     monkeypatch.setattr(spread, "PAGES_PER_BUCKET", 2)
     scaled = clusters.scaled_features(vectors(spark, documents))
     if way == "small":
-        got = clusters.cluster_small(scaled, 5, 10)
+        got = clusters.cluster_small(scaled, 5)
     elif way == "mixed":
         got = clusters.cluster_scaled(scaled, task_blocks=20)
     else:
-        got = clusters.LargeDocumentKMeans(scaled, broadcast_documents=100 if "broadcast" in way else 0).fit()
+        got = clusters.LargeDocumentKMeans(scaled, broadcast_bytes=1 << 20 if "broadcast" in way else 0).fit()
     assert by_document(got) == {name: brute_force(points) for name, points in documents.items()}
 
 
+def test_one_more_round_moves_nothing():
+    for points in random_documents().values():
+        assert brute_force(points) == brute_force(points, more_rounds=1)
+
+
+def test_more_rounds_than_ten(spark):
+    """Points of even spacing, where the border between two clusters wanders for long; both ways go on to the end."""
+    points = np.zeros((160, 7))
+    points[:, 0] = np.arange(160) ** 1.5
+    points[:, 4] = np.arange(160) % 7
+    scaled = clusters.scaled_features(vectors(spark, {"long": points}))
+    small, large = clusters.cluster_small(scaled, 5), clusters.LargeDocumentKMeans(scaled).fit()
+    assert by_document(small) == by_document(large) == {"long": brute_force(points)}
+    assert small.filter("NOT settled").isEmpty() and large.filter("NOT settled").isEmpty()
+
+
 def test_cluster_labels_rank_by_size(spark):
     rows = [("d", 0, i, size, k) for i, (size, k) in enumerate([(9.0, 0), (9.0, 1), (20.0, 2), (12.0, 3), (10.0, 4), (8.0, 5)])]
     df = spark.createDataFrame(rows, "document_name string, page_number int, seq bigint, fontsize double, cluster_label int")

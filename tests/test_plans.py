@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pagespine.operators import layout, outline, spread
+from pagespine.operators import layout, spread
 from pagespine.plans import outlines as plan
 
 DOCUMENTS = {"small": 3, "huge": 40, "plain": 12}
@@ -27,7 +27,7 @@ def lines(make_lines):
 
 
 def rows(df):
-    return sorted((r.document_name, r.part, r.title, tuple(map(tuple, r.outline))) for r in df.collect())
+    return sorted((r.document_name, r.title, tuple(map(tuple, r.outline))) for r in df.collect())
 
 
 def test_splitting_and_row_order_change_nothing(lines, monkeypatch):
@@ -86,12 +86,3 @@ def test_settings_reach_the_steps(lines):
     shorter = plan.outlines(lines, plan.Settings(max_heading_words=1))
     items = shorter.select(F.explode("outline").alias("i")).select("i.text")
     assert items.filter(F.size(F.split("text", r"\s+")) > 1).isEmpty()
-
-
-def test_outline_rows_hold_every_heading(lines):
-    whole, parted = plan.outlines(lines), None
-    labelled = plan.label_blocks(plan.with_traits(plan.to_blocks(lines)))
-    parted = outline.document_outline(labelled, pages_per_row=7)
-    assert parted.filter("part > 0").count() > 0
-    count = lambda df: {r.document_name: r.n for r in df.groupBy("document_name").agg(F.sum(F.size("outline")).alias("n")).collect()}
-    assert count(whole) == count(parted)

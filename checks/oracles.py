@@ -24,6 +24,7 @@ CTES = {
     "nonblank": """
         SELECT * REPLACE (trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS text) FROM lines
         WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> ''""",
+    # The keywords and what is trimmed off them, here and in "opened".
     "worded": "SELECT *, trim(lower(split_part(text, ' ', 1)), '•*: ') AS first_word FROM nonblank",
     "opened": """
         SELECT *, coalesce(prev_font IS NOT NULL AND (prev_font <> fontname OR prev_size <> fontsize), false) AS style_change,
@@ -51,6 +52,7 @@ CTES = {
         FROM raw""",
     "blocks": """
         SELECT *, CASE WHEN font_size > 0 THEN round_even(indentation / font_size, 3) ELSE 0 END AS ratio FROM featured""",
+    # Patterns, limits and points, here and in "scored", "rule_named" and "final".
     "judged": rf"""
         SELECT *, page_hit OR date_hit OR toc_hit OR cite_hit OR punct_hit OR symbol_hit AS rejected FROM (
           SELECT *,
@@ -115,6 +117,7 @@ CTES = {
         SELECT document_name, page_number, seq, text, word_count, rejected, level, valid_start, label, seq AS place
         FROM cluster_named""",
     "texts": "SELECT document_name, text, count(DISTINCT page_number) AS n_pages FROM labelled GROUP BY document_name, text",
+    "keys": "SELECT document_name, CASE WHEN length(text) <= 64 THEN text ELSE sha256(text) END AS text_key, n_pages FROM texts",
     "dismissed": """
         SELECT l.*, n_pages > 2 AS repeated, n_pages > 2 OR rejected AS out_of_question,
                CASE WHEN n_pages > 2 OR rejected THEN 'Body' ELSE coalesce(level, label) END AS label_2
@@ -193,11 +196,17 @@ SELECTS = {
     "document_name": r"""
         SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN concat('doc_', doc_id) WHEN 1 THEN concat('doc.v2_', doc_id)
                        WHEN 2 THEN concat('.doc_', doc_id) ELSE concat('doc_', doc_id) END AS document_name FROM documents""",
-    "read_blocks": f"SELECT {BLOCK}, block_no AS position, text, fontname, fontsize, {FEATURES} FROM (SELECT * REPLACE (row_number() OVER (PARTITION BY document_name ORDER BY seq) - 1 AS block_no) FROM blocks) WHERE CAST(replace(document_name, 'doc_', '') AS BIGINT) % 7 <> 0",
-    "reject_malformed": "SELECT DISTINCT document_name, 'not a JSON block array' AS reason FROM blocks WHERE CAST(replace(document_name, 'doc_', '') AS BIGINT) % 7 = 0",
+    "read_blocks": f"SELECT {BLOCK}, block_no AS position, text, fontname, fontsize, {FEATURES} FROM (SELECT * REPLACE (row_number() OVER (PARTITION BY document_name ORDER BY seq) - 1 AS block_no) FROM blocks) WHERE CAST(replace(document_name, 'doc_', '') AS BIGINT) % 7 NOT IN (0, 3, 5)",
+    "reject_malformed": """
+        SELECT document_name, CASE n WHEN 0 THEN 'not a JSON block array' WHEN 3 THEN 'no fontsize' ELSE 'wrong fontsize' END AS reason
+        FROM (SELECT DISTINCT document_name, CAST(replace(document_name, 'doc_', '') AS BIGINT) % 7 AS n FROM blocks) WHERE n IN (0, 3, 5)""",
+    "discover_documents": " UNION ALL ".join(
+        f"SELECT '{t}.parquet' AS filename, '{t}' AS document_name, count(*) AS n_rows FROM {t}"
+        for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+    ),
     "rejects": "SELECT document_name, 'no y1' AS reason, count(*) AS n_lines FROM lines WHERE CAST(replace(document_name, 'doc_', '') AS BIGINT) % 11 = 0 AND line_no = 0 GROUP BY document_name",
     "write_stage": f"SELECT {BLOCK}, text, fontname, fontsize, {FEATURES} FROM blocks",
-    "skipped_documents": "SELECT DISTINCT document_name FROM lines WHERE CAST(replace(document_name, 'doc_', '') AS BIGINT) % 11 = 0",
+    "skipped_documents": "SELECT DISTINCT document_name FROM lines WHERE CAST(replace(document_name, 'doc_', '') AS BIGINT) % 11 < 2",
     "run_report": """
         SELECT d.document_name, coalesce(n_lines, 0) AS n_lines, coalesce(n_blocks, 0) AS n_blocks,
                coalesce(n_labelled, 0) AS n_labelled, coalesce(n_headings, 0) AS n_headings,
@@ -217,7 +226,7 @@ SELECTS = {
     "line_style_default": """
         SELECT document_name, page_number, line_no, coalesce(s.fontname, 'Unknown') AS fontname, coalesce(s.fontsize, 0.0) AS fontsize
         FROM (SELECT document_name, page_number, line_no FROM lines) l LEFT JOIN styles s USING (document_name, page_number, line_no)""",
-    "nonblank_lines": "SELECT document_name, page_number, line_no, text FROM nonblank",
+    "nonblank_lines": "SELECT document_name, page_number, line_no, text FROM nonblank WHERE line_no % 5 <> 4",
     "first_word": "SELECT document_name, page_number, line_no, first_word FROM worded",
     "keyword_start": "SELECT document_name, page_number, line_no, first_word IN ('introduction', 'overview', 'methodology', 'appendix') AS keyword_start FROM worded",
     "style_change": "SELECT document_name, page_number, line_no, style_change FROM opened",
@@ -249,7 +258,9 @@ SELECTS = {
     "rule_order": "SELECT document_name, seq, i AS position FROM ordered",
     "space_before": "SELECT document_name, seq, round(space_before, 6) AS space_before FROM ordered",
     "drop_noise": "SELECT document_name, seq, text FROM rule_named WHERE NOT noise",
-    "heading_score": "SELECT document_name, seq, heading_score FROM scored",
+    "heading_score": """
+        SELECT document_name, seq, heading_score + CASE WHEN block_no % 3 = 0 THEN 3 ELSE 0 END + CASE WHEN block_no % 4 = 0 THEN 3 ELSE 0 END
+               + CASE WHEN block_no % 5 = 0 THEN 3 ELSE 0 END AS heading_score FROM scored""",
     "score_label": "SELECT document_name, seq, CASE WHEN heading_score >= 7 THEN 'H1' WHEN heading_score >= 5 THEN 'H2' WHEN heading_score >= 3 THEN 'H3' ELSE 'Body' END AS score_label FROM scored",
     "rule_labels": "SELECT document_name, seq, text, label AS predicted_label FROM rule_named WHERE NOT noise",
     "cluster_k": "SELECT document_name, CAST(least(count(*), 5) AS INT) AS k FROM varied GROUP BY document_name",
@@ -258,8 +269,8 @@ SELECTS = {
     "cluster_font": "SELECT * FROM fonts",
     "cluster_rank": "SELECT * FROM ranks",
     "cluster_labels": "SELECT document_name, seq, cluster_label, label AS predicted_label FROM cluster_named",
-    "text_pages": "SELECT * FROM texts",
-    "repeating_text": "SELECT document_name, text, n_pages FROM texts WHERE n_pages > 2",
+    "text_pages": "SELECT * FROM keys",
+    "repeating_text": "SELECT document_name, text_key FROM keys WHERE n_pages > 2",
     "reject_non_headings": "SELECT document_name, seq, repeated, out_of_question AS dismissed FROM dismissed",
     "numbering_override": "SELECT document_name, seq, label_2 AS predicted_label FROM dismissed",
     "single_title": "SELECT document_name, seq, label_3 AS predicted_label FROM titled",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pagespine.operators.postprocess import post_process
 from pagespine.operators.traits import with_traits
-from pagespine.plans.outlines import first_labels, route, to_blocks
+from pagespine.plans.outlines import first_labels, routed, to_blocks
 from pagespine.session import stage_table
 
 WRAPPED_DUCKDB = """
@@ -121,14 +121,19 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "blocks", lambda: with_traits(to_blocks(lines(spark, sf_dir))))
 
 
+def with_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks with the facts of their documents."""
+    return stored(spark, sf_dir, "routed", lambda: routed(blocks(spark, sf_dir)))
+
+
 def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks of the documents of uniform style."""
-    return stored(spark, sf_dir, "ruled", lambda: route(blocks(spark, sf_dir)).filter("is_uniform").drop("is_uniform"))
+    return stored(spark, sf_dir, "ruled", lambda: with_facts(spark, sf_dir).filter("is_uniform").select(*blocks(spark, sf_dir).columns))
 
 
 def varied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks of the other documents."""
-    return stored(spark, sf_dir, "varied", lambda: route(blocks(spark, sf_dir)).filter("NOT is_uniform").drop("is_uniform"))
+    return stored(spark, sf_dir, "varied", lambda: with_facts(spark, sf_dir).filter("NOT is_uniform").select(*blocks(spark, sf_dir).columns))
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:

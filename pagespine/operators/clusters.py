@@ -31,11 +31,6 @@ AXES = [f"z{i}" for i in range(DIMS)]
 STEPS = 100000.0
 
 
-def cluster_counts(blocks: DataFrame, n_clusters: int = N_CLUSTERS) -> DataFrame:
-    """Clusters per document: never more than it has blocks."""
-    return blocks.groupBy(DOC).agg(F.least(F.count("*"), F.lit(n_clusters)).cast("int").alias("k"))
-
-
 def moment_columns() -> list[Column]:
     """Aggregates that scaling needs, to be computed along with other facts of a document."""
     value = [F.col("feature_vector")[i] for i in range(DIMS)]

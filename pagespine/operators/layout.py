@@ -4,10 +4,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from pagespine.constants import HEADING_KEYWORDS, LINES_PER_STRETCH, UNKNOWN_STYLE
+from pagespine.constants import BROADCAST_DOCUMENTS, HEADING_KEYWORDS, LINES_PER_STRETCH, UNKNOWN_STYLE
 from pagespine.functions import text as T
 from pagespine.functions.numbers import round_half_even
 from pagespine.operators.spread import reading_key
+from pagespine.session import stage_table
 
 PAGE = ["document_name", "page_number"]
 LINE = [*PAGE, "line_no"]
@@ -51,59 +52,56 @@ def has_long_pages(lines: DataFrame) -> bool:
     return not lines.filter(F.col("line_no") >= LINES_PER_STRETCH).select("line_no").isEmpty()
 
 
-def _opens(previous, style, keyword):
-    return previous.isNotNull() & (~previous.eqNullSafe(style) | keyword)
+def style_changes(lines: DataFrame, long_pages: bool | None = None) -> DataFrame:
+    """Mark lines whose style differs from the line before on the page (``style_change``), and lines with one before (``follows``).
 
-
-def style_changes(lines: DataFrame) -> DataFrame:
-    """Mark lines whose style differs from the line before on the page (needs bounded pages)."""
-    previous = F.lag(F.struct("fontname", "fontsize")).over(W.partitionBy(*PAGE).orderBy("line_no"))
-    changed = _opens(previous, F.struct("fontname", "fontsize"), F.lit(False))
-    return lines.withColumn("style_change", changed)
+    Lines get a ``stretch``, the part of the page that one task orders: 0 on all pages of ordinary length, which
+    keep their single shuffle. Only long pages, if there are any, have the style before each stretch looked up
+    from one summary row per stretch.
+    """
+    if long_pages is None:
+        long_pages = has_long_pages(lines)
+    before = F.lag(F.struct("fontname", "fontsize"))
+    if not long_pages:
+        return _changes(lines.withColumn("previous", before.over(W.partitionBy(*PAGE).orderBy("line_no"))).withColumn("stretch", F.lit(0)))
+    pages = lines.filter(F.col("line_no") >= LINES_PER_STRETCH).select(*PAGE).distinct()
+    if pages.limit(BROADCAST_DOCUMENTS + 1).count() <= BROADCAST_DOCUMENTS:
+        pages = F.broadcast(pages)
+    short = style_changes(lines.join(pages, PAGE, "left_anti"), False)
+    long = lines.join(pages, PAGE, "left_semi").withColumn("stretch", F.floor(F.col("line_no") / LINES_PER_STRETCH).cast("int"))
+    ends = long.groupBy(*PAGE, "stretch").agg(F.max_by(F.struct("fontname", "fontsize"), "line_no").alias("last"))
+    ends = ends.select(*PAGE, "stretch", F.lag("last").over(W.partitionBy(*PAGE).orderBy("stretch")).alias("earlier"))
+    inside = long.withColumn("previous", before.over(W.partitionBy(*PAGE, "stretch").orderBy("line_no")))
+    joined = inside.join(ends, [*PAGE, "stretch"]).withColumn("previous", F.coalesce("previous", "earlier")).drop("earlier")
+    return short.unionByName(_changes(joined))
+
+
+def _changes(lines: DataFrame) -> DataFrame:
+    follows = F.col("previous").isNotNull()
+    changed = follows & ~F.col("previous").eqNullSafe(F.struct("fontname", "fontsize"))
+    return lines.withColumns({"style_change": changed, "follows": follows}).drop("previous")
 
 
 def number_blocks(lines: DataFrame, keywords=HEADING_KEYWORDS, long_pages: bool | None = None) -> DataFrame:
     """Give each non-blank line the number of its block on the page.
 
-    A block ends before a line in another style or a line that starts with a
-    keyword. Pages of ordinary length are numbered by one window. With long
-    pages, lines are numbered within stretches of bounded length, and the
-    joints between stretches are settled on one summary row per stretch.
+    A block ends before a line in another style or a line that starts with a keyword. Long pages are numbered
+    within stretches; the blocks before a stretch are summed on one row per stretch.
     """
     if long_pages is None:
         long_pages = has_long_pages(lines)
-    style, keyword = F.struct("fontname", "fontsize"), F.col("keyword")
-    marked = lines.withColumn("keyword", T.starts_with_keyword(F.col("text"), keywords))
-    part = PAGE
+    opens = F.col("style_change") | (F.col("follows") & T.starts_with_keyword(F.col("text"), keywords))
+    in_order = W.partitionBy(*PAGE, *(["stretch"] if long_pages else [])).orderBy("line_no")
+    count = F.sum("opens").over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow)).cast("int")
+    numbered = style_changes(lines, long_pages).withColumn("opens", opens.cast("int")).withColumn("block_no", count)
     if long_pages:
-        part = [*PAGE, "stretch"]
-        marked = marked.withColumn("stretch", F.floor(F.col("line_no") / LINES_PER_STRETCH))
-    in_order = W.partitionBy(*part).orderBy("line_no")
-    numbered = marked.withColumn("opens", _opens(F.lag(style).over(in_order), style, keyword).cast("int")).withColumn(
-        "block_no", F.sum("opens").over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow)).cast("int")
-    )
-    if long_pages:
-        numbered = numbered.join(_stretch_offsets(numbered), part).withColumn(
-            "block_no", (F.col("block_no") + F.col("offset")).cast("int")
+        inside = numbered.filter("stretch > 0 OR opens > 0").groupBy(*PAGE, "stretch").agg(F.max("block_no").alias("n"))
+        later = W.partitionBy(*PAGE).orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)
+        offsets = inside.select(*PAGE, "stretch", F.coalesce(F.sum("n").over(later), F.lit(0)).alias("offset")).filter("stretch > 0")
+        numbered = numbered.join(offsets, [*PAGE, "stretch"], "left").withColumn(
+            "block_no", (F.col("block_no") + F.coalesce("offset", F.lit(0))).cast("int")
         )
-    return numbered.drop("keyword", "opens", "stretch", "offset")
-
-
-def _stretch_offsets(numbered: DataFrame) -> DataFrame:
-    """How many blocks of the page begin before each stretch, its first line included."""
-    style = F.struct("fontname", "fontsize")
-    ends = numbered.groupBy(*PAGE, "stretch").agg(
-        F.max("block_no").alias("inside"),
-        F.min_by(style, "line_no").alias("first_style"),
-        F.min_by("keyword", "line_no").alias("first_keyword"),
-        F.max_by(style, "line_no").alias("last_style"),
-    )
-    in_order = W.partitionBy(*PAGE).orderBy("stretch")
-    joint = _opens(F.lag("last_style").over(in_order), F.col("first_style"), F.col("first_keyword")).cast("int")
-    before = F.coalesce(F.lag("inside").over(in_order), F.lit(0))
-    return ends.withColumn("joint", joint + before).select(
-        *PAGE, "stretch", F.sum("joint").over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("offset")
-    )
+    return numbered.drop("opens", "stretch", "offset", "style_change", "follows")
 
 
 def fold_blocks(numbered: DataFrame) -> DataFrame:
@@ -139,25 +137,14 @@ def to_raw_blocks(lines: DataFrame, keywords=HEADING_KEYWORDS, long_pages: bool
 def list_positions(blocks: DataFrame, order=("seq",)) -> DataFrame:
     """The place of each block in its document by page and ``order``, counted from 0 without gaps.
 
-    Ordering only needs sort keys; this is for readers who want the list index.
-    Pages are counted, page counts are summed within groups of pages and the
-    groups within the document, so no window holds a document's blocks.
+    Ordering only needs sort keys; this is for readers who want the list index. Rows are dealt out by ranges of
+    their order and stored with a running number; a document's blocks before a range are summed on one row per range.
     """
-    group = F.floor(F.col("page_number") / 4096).alias("page_group")
-    pages = blocks.groupBy(*PAGE, group).agg(F.count("*").alias("n"))
-    groups = pages.groupBy("document_name", "page_group").agg(F.sum("n").alias("n"))
-
-    def earlier(keys, order):
-        window = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-        return F.coalesce(F.sum("n").over(window), F.lit(0))
-
-    groups = groups.select("document_name", "page_group", earlier(["document_name"], "page_group").alias("before_group"))
-    starts = pages.withColumn("before_page", earlier(["document_name", "page_group"], "page_number")).join(
-        groups, ["document_name", "page_group"]
-    )
-    on_page = F.row_number().over(W.partitionBy(*PAGE).orderBy(*order)) - 1
-    return (
-        blocks.join(starts.select(*PAGE, (F.col("before_group") + F.col("before_page")).alias("page_start")), PAGE)
-        .withColumn("position", (F.col("page_start") + on_page).cast("bigint"))
-        .drop("page_start")
-    )
+    keys = ["document_name", "page_number", *order]
+    sorted_rows = blocks.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("running", F.monotonically_increasing_id())
+    stored = stage_table(sorted_rows.withColumn("range", F.shiftright("running", 33)), "positions")
+    ranges = stored.groupBy("document_name", "range").agg(F.min("running").alias("start"), F.count("*").alias("n"))
+    earlier = W.partitionBy("document_name").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    ranges = ranges.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    placed = stored.join(ranges, ["document_name", "range"])
+    return placed.withColumn("position", F.col("before") + F.col("running") - F.col("start")).drop("range", "running", "start", "before", "n")

@@ -2,10 +2,10 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from pagespine.constants import HEADING_LEVELS, MAX_HEADING_WORDS, REPEAT_PAGES
-from pagespine.functions import text as T
-from pagespine.operators.spread import attach, with_bucket
+from pagespine.operators.spread import BUCKET, attach, with_bucket
 from pagespine.operators.traits import with_traits
 
 DOC = "document_name"
@@ -16,36 +16,39 @@ def list_order() -> Column:
     return F.struct(F.lit(0).alias("page"), F.lit(0.0).alias("depth"), F.col("seq").alias("seq"))
 
 
-def text_pages(blocks: DataFrame) -> DataFrame:
-    """On how many pages each non-empty text of a document stands."""
-    text = T.strip(F.col("text"))
-    return blocks.filter(text != "").groupBy(DOC, text.alias("text")).agg(F.count_distinct("page_number").alias("n_pages"))
+def bucket_pages(blocks: DataFrame) -> DataFrame:
+    """On how many pages of a bucket each text key stands; buckets hold disjoint pages."""
+    keyed = with_bucket(blocks) if BUCKET not in blocks.columns else blocks
+    rows = keyed.select(DOC, F.col("traits.text_key").alias("text_key"), BUCKET, "page_number").filter("text_key != ''")
+    return rows.groupBy(DOC, "text_key", page_bucket().alias("pages_of")).agg(F.count_distinct("page_number").alias("n_pages"))
+
 
+def page_bucket() -> Column:
+    """The pages of a bucket, without its part of each page."""
+    return F.shiftright(BUCKET, 24)
 
-def repeating_text(blocks: DataFrame, pages: int = REPEAT_PAGES) -> DataFrame:
-    """Texts on more than ``pages`` pages: running headers and footers."""
-    return text_pages(blocks).filter(F.col("n_pages") > pages)
+
+def text_pages(blocks: DataFrame) -> DataFrame:
+    """On how many pages each text key of a document stands."""
+    return bucket_pages(blocks).groupBy(DOC, "text_key").agg(F.sum("n_pages").alias("n_pages"))
 
 
 def repeated_keys(blocks: DataFrame, pages: int = REPEAT_PAGES) -> DataFrame:
-    """Keys of the repeating texts; counts combine before the shuffle, so a header on
-    every page of a huge document is a few rows by then."""
-    return (
-        blocks.select(DOC, "page_number", F.col("traits.text_key").alias("text_key"))
-        .filter("text_key != ''")
-        .groupBy(DOC, "text_key")
-        .agg(F.count_distinct("page_number").alias("n_pages"))
-        .filter(F.col("n_pages") > pages)
-        .select(DOC, "text_key", F.lit(True).alias("repeated"))
-    )
+    """Keys on more than ``pages`` pages (running headers and footers), a row for each bucket of pages they stand in.
+
+    Counts combine before every shuffle, so a header on every page of a huge document is a few rows by then.
+    """
+    whole = F.sum("n_pages").over(W.partitionBy(DOC, "text_key"))
+    found = bucket_pages(blocks).withColumn("whole", whole).filter(F.col("whole") > pages)
+    return found.select(DOC, "text_key", "pages_of", F.lit(True).alias("repeated"))
 
 
 def with_repeats(blocks: DataFrame, repeats: DataFrame) -> DataFrame:
-    """Add ``repeated``, joined per bucket so that no task sees all copies of a text."""
-    keyed = blocks.withColumn("text_key", F.col("traits.text_key"))
-    return attach(keyed, repeats, [DOC, "text_key"]).withColumn(
+    """Add ``repeated``, joined per bucket of pages so that no task sees all copies of a text."""
+    keyed = blocks.withColumns({"text_key": F.col("traits.text_key"), "pages_of": page_bucket()})
+    return keyed.join(repeats, [DOC, "text_key", "pages_of"], "left").withColumn(
         "repeated", F.coalesce("repeated", F.lit(False))
-    ).drop("text_key")
+    ).drop("text_key", "pages_of")
 
 
 def numbered_label() -> Column:
@@ -63,7 +66,7 @@ def first_titles(blocks: DataFrame, repeats: DataFrame) -> DataFrame:
         blocks.filter((numbered_label() == "Title") & ~F.col("traits.rejected"))
         .groupBy(DOC, F.col("traits.text_key").alias("text_key"))
         .agg(F.min("place").alias("title_place"))
-        .join(repeats, [DOC, "text_key"], "left_anti")
+        .join(repeats.select(DOC, "text_key").distinct(), [DOC, "text_key"], "left_anti")
         .groupBy(DOC)
         .agg(F.min("title_place").alias("title_place"))
     )

@@ -66,15 +66,16 @@ def heading_score(optional: list[str]) -> Column:
 
 
 def score_label(score: Column) -> Column:
+    """The points that each level takes."""
     return F.when(score >= 7, "H1").when(score >= 5, "H2").when(score >= 3, "H3").otherwise("Body")
 
 
-def score_blocks(blocks: DataFrame) -> DataFrame:
+def score_blocks(blocks: DataFrame, title_words: int = TITLE_WORDS) -> DataFrame:
     """Add ``place``, spacing, score and label; noise is labelled, not yet dropped."""
     given = blocks.schema["features"].dataType.fieldNames()
     optional = [name for name in ("is_italics", "is_underline", "is_all_caps") if name in given]
     first = F.col("tops_page") & (F.col("page_number") == F.col("first_page"))
-    short = F.col("features.word_count") < TITLE_WORDS
+    short = F.col("features.word_count") < title_words
     return (
         with_space_before(with_first_page(with_traits(blocks)))
         .withColumn("place", rule_order())
@@ -89,6 +90,6 @@ def score_blocks(blocks: DataFrame) -> DataFrame:
     )
 
 
-def rule_labels(blocks: DataFrame) -> DataFrame:
+def rule_labels(blocks: DataFrame, title_words: int = TITLE_WORDS) -> DataFrame:
     """Labelled blocks without noise; ``place`` keeps the order they are in."""
-    return score_blocks(blocks).filter("predicted_label != 'Noise'").drop("heading_score")
+    return score_blocks(blocks, title_words).filter("predicted_label != 'Noise'").drop("heading_score")

@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagespine import constants as C
@@ -11,7 +11,7 @@ from pagespine.operators.features import with_features, with_vectors
 from pagespine.operators.spread import BUCKET, attach, with_bucket
 from pagespine.operators.traits import with_traits
 from pagespine.session import stage_table
-from pagespine.sources import report
+from pagespine.sources import files, report, sinks
 
 DOC = "document_name"
 
@@ -20,6 +20,7 @@ DOC = "document_name"
 class Settings:
     heading_keywords: tuple = C.HEADING_KEYWORDS
     n_clusters: int = C.N_CLUSTERS
+    title_words: int = C.TITLE_WORDS
     task_blocks: int = C.BLOCKS_PER_TASK
     std_threshold: float = C.STD_THRESHOLD
     unique_threshold: int = C.UNIQUE_THRESHOLD
@@ -42,23 +43,22 @@ def document_facts(blocks: DataFrame, settings: Settings = Settings()) -> DataFr
     return facts.withColumn("is_uniform", uniform).drop("size_std", "n_sizes")
 
 
-def route(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Add ``is_uniform``: rules where it is true, clustering elsewhere."""
-    uniform = style.style_stats(blocks, settings.std_threshold, settings.unique_threshold, settings.min_blocks)
-    return attach(blocks, uniform.select(DOC, "is_uniform"), [DOC]).drop(BUCKET)
+def routed(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Blocks with all that is known about their documents: rules apply where ``is_uniform``, clustering elsewhere.
 
+    Blocks meet the facts once, for both ways. Give it a stored table.
+    """
+    return attach(with_traits(blocks), document_facts(blocks, settings), [DOC], "inner")
 
-def first_labels(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Labels of either labeller, before corrections. Give it a stored table.
 
-    The facts are stored too: one row per document, asked again for the routing.
-    """
-    facts = stage_table(document_facts(blocks, settings), "facts")
-    blocks = with_bucket(with_traits(blocks))
-    ruled = rules.rule_labels(attach(blocks, facts.filter("is_uniform").select(DOC, "first_page"), [DOC], "inner"))
-    varied = facts.filter("NOT is_uniform")
+def first_labels(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Labels of either labeller, before corrections. Give it a stored table."""
+    rows = stage_table(routed(blocks, settings), "routed")
+    own = [c for c in with_traits(blocks).columns if c != BUCKET]
+    ruled = rules.rule_labels(rows.filter("is_uniform").select(*own, BUCKET, "first_page"), settings.title_words)
+    varied = rows.filter("NOT is_uniform")
     clustered = clusters.cluster_scaled(
-        clusters.scale(attach(blocks, varied.drop("is_uniform", "first_page"), [DOC], "inner")),
+        clusters.scale(varied.drop("is_uniform", "first_page")),
         settings.n_clusters,
         settings.task_blocks,
         any_large=not varied.filter(F.col("n_blocks") > settings.task_blocks).isEmpty(),
@@ -68,9 +68,16 @@ def first_labels(blocks: DataFrame, settings: Settings = Settings()) -> DataFram
 
 
 def label_blocks(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Blocks with their final labels."""
-    labelled = stage_table(first_labels(blocks, settings), "labels")
-    return postprocess.post_process(labelled, settings.repeat_pages, settings.max_heading_words)
+    """Blocks with their final labels. Give it a stored table.
+
+    Labelling works on rows without long texts; their labels join the stored blocks once, at the end.
+    """
+    narrow = stage_table(first_labels(heading_texts(blocks, settings), settings), "labels")
+    final = postprocess.post_process(narrow, settings.repeat_pages, settings.max_heading_words)
+    added = [c for c in ("cluster_label", "settled") if c in final.columns]
+    labels = final.select(DOC, "page_number", "seq", "place", "predicted_label", *added, F.col("features.space_before").alias("space_before"))
+    whole = with_traits(blocks).join(labels, [DOC, "page_number", "seq"])
+    return whole.withColumn("features", F.col("features").withField("space_before", F.col("space_before"))).drop("space_before")
 
 
 def heading_texts(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -108,12 +115,27 @@ def run(documents: DataFrame, lines: DataFrame, settings: Settings = Settings())
     rejects = stage_table(report.unusable_lines(lines), "rejects")
     lines = report.usable_lines(lines, rejects)
     blocks = stage_table(with_traits(to_blocks(lines, settings)), "blocks")
+    return _made(documents, lines, blocks, settings) | {"rejects": rejects}
+
+
+def run_files(spark: SparkSession, folder: str, out: str, settings: Settings = Settings()) -> dict[str, DataFrame]:
+    """From a folder of block files to outlines under ``out``, which replace what is there."""
+    blocks, rejects = files.read_blocks(spark, folder)
+    columns = [DOC, "page_number", "seq", "text", "fontname", "fontsize", "features"]
+    blocks = stage_table(with_traits(with_vectors(blocks.select(*columns))), "blocks")
+    documents = files.discover_documents(spark, folder, "json")
+    made = _made(documents, blocks, blocks, settings) | {"rejects": stage_table(rejects, "rejects")}
+    sinks.write_outlines(made["outlines"], out)
+    return made
+
+
+def _made(documents: DataFrame, lines: DataFrame, blocks: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     labelled = stage_table(label_blocks(blocks, settings), "labelled")
     made = stage_table(outline.document_outline(labelled), "outlines")
     return {
         "blocks": blocks,
         "labelled": labelled,
         "outlines": made,
-        "rejects": rejects,
+        "unsettled": labelled.filter("NOT settled").select(DOC).distinct(),
         "report": report.run_report(documents, lines, blocks, labelled, made),
     }

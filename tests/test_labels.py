@@ -190,8 +190,3 @@ def test_cluster_labels_rank_by_size(spark):
     rows = [("d", 0, i, size, k) for i, (size, k) in enumerate([(9.0, 0), (9.0, 1), (20.0, 2), (12.0, 3), (10.0, 4), (8.0, 5)])]
     df = spark.createDataFrame(rows, "document_name string, page_number int, seq bigint, fontsize double, cluster_label int")
     assert labels(clusters.cluster_labels(df)) == ["H3", "Body", "Title", "H1", "H2", "Body"]
-
-
-def test_cluster_count(spark):
-    counted = clusters.cluster_counts(vectors(spark, {"a": np.ones((3, 7)), "b": np.ones((9, 7))})).collect()
-    assert {r.document_name: r.k for r in counted} == {"a": 3, "b": 5}

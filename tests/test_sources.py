@@ -15,11 +15,14 @@ def test_base_names(spark):
 
 
 def test_discovery_takes_suffix_in_any_case_and_no_subfolder(spark, tmp_path):
+    (tmp_path / "blank space +ü.pdf").write_bytes(b"")
+    assert [r.document_name for r in files.discover_documents(spark, str(tmp_path)).collect()] == ["blank space +ü"]
+    (tmp_path / "blank space +ü.pdf").unlink()
     for name in ("a.pdf", "B.PDF", "c.txt", "sub/d.pdf"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
         (tmp_path / name).write_bytes(b"x")
     found = files.discover_documents(spark, str(tmp_path)).orderBy("filename").collect()
-    assert [(r.filename, r.document_name, r.length) for r in found] == [("B.PDF", "B", 1), ("a.pdf", "a", 1)]
+    assert [(r.filename, r.document_name) for r in found] == [("B.PDF", "B"), ("a.pdf", "a")]
     assert files.discover_documents(spark, str(tmp_path / "a.pdf")).count() == 1
 
 
@@ -27,18 +30,30 @@ BROKEN = {"cut": '[{"text": "a"}, ', "tail": '[{"text": "a"}] x', "object": '{"t
 
 
 def test_block_files(spark, tmp_path):
-    good = [{"text": "Ä\nb", "fontsize": 11, "page_number": 2, "features": {"space_before": 100, "word_count": 2}}, {"text": "c", "document_name": "own"}]
+    good = [
+        {"text": "Ä\nb", "fontsize": 11, "page_number": 2.0, "features": {"space_before": 100, "word_count": 2}},
+        {"text": "c", "document_name": "own", "fontsize": 1.5, "page_number": 3, "features": {}},
+    ]
     (tmp_path / "good.v1.JSON").write_text(json.dumps(good, ensure_ascii=False, indent=2), encoding="utf-8")
     (tmp_path / "empty.json").write_text("[]")
     (tmp_path / "other.txt").write_text("[")
     for name, text in BROKEN.items():
         (tmp_path / f"{name}.json").write_text(text)
+    wrong = {
+        "wrong fontsize": {"fontsize": "11"}, "wrong page_number": {"page_number": 1.5}, "no text": {"text": None},
+        "wrong word_count": {"features": {"word_count": "two"}}, "wrong features": {"features": 3},
+    }
+    for name, change in wrong.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps([good[1], good[1] | change]))
+    (tmp_path / "zero.json").write_bytes(b"")
     (tmp_path / "latin.json").write_bytes('["ä"]'.encode("latin-1"))
     blocks, left_out = files.read_blocks(spark, str(tmp_path))
     rows = blocks.orderBy("seq").collect()
-    assert [(r.document_name, r.seq, r.text) for r in rows] == [("good.v1", 0, "Ä\nb"), ("own", 1, "c")]
+    assert [(r.document_name, r.seq, r.text) for r in rows] == [("good.v1", 0, "Ä\nb"), ("good.v1", 1, "c")]
+    assert rows[0].page_number == 2 and rows[1].given_name == "own"
     assert rows[0].fontsize == 11.0 and rows[0].features.space_before == 100.0 and rows[0].features.is_italics is None
-    assert {r.document_name for r in left_out.collect()} == {*BROKEN, "latin"}
+    reasons = {r.document_name: r.reason for r in left_out.collect()}
+    assert reasons == dict.fromkeys([*BROKEN, "latin", "zero"], "not a JSON block array") | {name: name for name in wrong}
 
 
 def test_stage_and_outline_files(spark, tmp_path):
@@ -67,5 +82,7 @@ def test_unusable_lines_cost_only_their_document(make_lines):
     lines = lines.withColumn("x0", F.when(F.col("document_name") == "nan", F.lit(float("nan"))).otherwise(F.col("x0")))
     rejects = report.unusable_lines(lines)
     assert {(r.document_name, r.reason) for r in rejects.collect()} == {("bad", "no text"), ("nan", "no x0")}
+    twice = make_lines([("twice", 0, 0, "a", "X", 1.0), ("twice", 0, 0, "b", "X", 1.0), ("fontless", 0, 0, "a", None, 1.0)])
+    assert {(r.document_name, r.reason) for r in report.unusable_lines(twice).collect()} == {("twice", "two lines in one place"), ("fontless", "no fontname")}
     for limit in (10, 0):
         assert [r.document_name for r in report.usable_lines(lines, rejects, limit).collect()] == ["good"]

@@ -5,12 +5,12 @@
 2. In each bucket the node with the smallest set is compared with all others (a star, not all pairs). Links
    are confirmed on the full sets, and linked nodes become parts of one component.
 3. Buckets that still hold several parts: small ones have the pairs between their parts compared. The nodes
-   of larger ones (documents around one common passage, say) meet by the rarest quarter of their shingles instead.
-   That is exact: linked sets have at least three quarters of either in common, hence one of the rarest quarter and
-   one more, in any order of shingles. What a whole crowd shares comes last in the order. There again the star comes first,
-   and then what is left.
+   of larger ones (documents around one common passage, or rough copies of one text) meet by the rarest quarter of their
+   shingles instead. That is exact: linked sets have at least three quarters of either in common, hence one of the rarest
+   quarter and one more, in any order of shingles. What many share comes last in the order. Nodes that meet so form
+   crowds, which are compared in blocks of bounded size; a block pair gives back a few edges that join its parts.
 
-No pair within one part is ever formed, so a group of copies costs one comparison per node.
+No pair within one part is ever formed as a row, so a group of copies costs one comparison per node.
 Two sets of similarity 0.75 meet in no bucket of the first kind with probability 1e-6; nothing else loses a link.
 
 Cases: a null text, or one without words, has no shingles and is linked with nothing; a text of fewer than five
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagespine.llm.components import merged
+from pagespine.llm.components import contracted, merged
 from pagespine.llm.shingles import bands, shingle_sets, signature
 from pagespine.llm.texts import fresh, over_texts
 from pagespine.session import stage_table
@@ -40,6 +40,8 @@ SMALL = 8
 #: Shingles that come last in the order of shingles: so many nodes have them, and no more are listed. Any list gives
 #: the same links; it only saves comparisons.
 FREQUENT, LISTED = 8, 200_000
+#: Nodes and shingles of a block, about. Two blocks are compared in one task.
+BLOCK_NODES, BLOCK_SHINGLES = 1_000, 1_000_000
 #: A star's or a pair's side is spread over so many tasks.
 SALTS = 32
 #: Keys (16 bytes each) that may be broadcast, once they have been counted.
@@ -151,6 +153,75 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return counted.filter(F.expr(f"100 * common >= {SIMILARITY} * (both - common)")).select("a", "b")
 
 
+def _crowd_links(members: DataFrame) -> DataFrame:
+    """Edges that join the parts of each crowd (``root``) as all confirmed links between its nodes would.
+
+    Nodes are dealt into blocks by hash; every two blocks of a crowd meet once.
+    """
+    sizes = members.groupBy("root").agg(F.count("*").alias("nodes"), F.sum("size").alias("shingles_in"))
+    blocks = F.ceil(F.greatest(F.col("nodes") / BLOCK_NODES, F.col("shingles_in") / BLOCK_SHINGLES)).cast("int")
+    dealt = members.join(sizes.select("root", blocks.alias("blocks")), "root")
+    dealt = dealt.withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = [F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")]
+    return met.select("root", *pair, "node", "part", "shingles").groupBy("root", "one", "two").applyInArrow(_joined, "a binary, b binary")
+
+
+def _joined(table: pa.Table) -> pa.Table:
+    """Edges between nodes of ``table`` that unite its parts: a spanning forest of the links on full sets."""
+    nodes, parts = table["node"].to_pylist(), table["part"].to_pylist()
+    sets = [s.values.to_numpy() for s in table["shingles"]]
+    numbers = {part: i for i, part in enumerate(dict.fromkeys(parts))}
+    part = np.array([numbers[p] for p in parts])
+    common = _common(sets)
+    size = np.array([len(s) for s in sets])
+    linked = 100 * common >= SIMILARITY * (size[:, None] + size[None, :] - common)
+    a, b = np.nonzero(np.triu(linked & (part[:, None] != part[None, :]), 1))
+    _, first = np.unique(part[a] * len(numbers) + part[b], return_index=True)
+    root = list(range(len(numbers)))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    edges = []
+    for i in first.tolist():
+        x, y = find(part[a[i]]), find(part[b[i]])
+        if x != y:
+            root[x] = y
+            edges.append((nodes[a[i]], nodes[b[i]]))
+    return pa.table({end: pa.array([e[k] for e in edges], pa.binary()) for k, end in enumerate("ab")})
+
+
+def _common(sets: list, often: int = 16) -> np.ndarray:
+    """How many elements two sets share, in the upper half: matrix products for what is frequent, counting for the rest."""
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    _, element, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    total = np.zeros((n, n), np.float32)
+    frequent = np.flatnonzero(count >= often)
+    for start in range(0, len(frequent), 2048):
+        column = np.full(len(count), -1)
+        column[frequent[start : start + 2048]] = np.arange(len(frequent[start : start + 2048]))
+        here = column[element] >= 0
+        present = np.zeros((n, min(2048, len(frequent) - start)), np.float32)
+        present[owner[here], column[element[here]]] = 1
+        total += present @ present.T
+    rare = count[element] < often
+    element, owner = element[rare], owner[rare]
+    order = np.lexsort((owner, element))
+    element, owner = element[order], owner[order]
+    for shift in range(1, often - 1):
+        same = element[shift:] == element[:-shift]
+        if not same.any():
+            break
+        keys, times = np.unique(owner[:-shift][same] * n + owner[shift:][same], return_counts=True)
+        # Owners ascend within an element: this fills the upper half, the only one that is read.
+        total.ravel()[keys] += times
+    return total.astype(np.int64)
+
+
 def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The shingles of ``nodes`` (node, row_key), from the texts of one of their rows."""
     wanted = nodes.select("row_key").distinct()
@@ -181,15 +252,16 @@ def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
     divided = stage_table(_divided(shared, labels), "divided")
     pairs = _across(divided.filter(F.col("n") <= SMALL))
 
+    labels = merged(labels, _confirmed(_untried(pairs, stars), sets))
+
     large = divided.filter(F.col("n") > SMALL).select("node", "size").distinct()
     large = stage_table(large.join(sets, "node"), "large")
     rarest = large.select("node", "size", F.explode(_rarest(large)("shingles")).alias("bucket"))
-    close = stage_table(_shared(stage_table(rarest, "rarest")), "close")
-    # Heads are the first of their pairs, so that _confirmed spreads them.
-    more = stage_table(_untried(pairs, stars).union(_untried(_stars(close), stars)).distinct(), "more")
-    labels = merged(labels, _confirmed(more, sets))
-    left = stage_table(_untried(_untried(_across(_divided(close, labels)), stars), more), "left")
-    return merged(labels, _confirmed(left, sets))
+    close = _divided(_shared(stage_table(rarest, "rarest")), labels)
+    crowds = contracted(close.select(F.col("head").alias("a"), F.col("node").alias("b")))
+    if crowds is None:
+        return labels
+    return merged(labels, _crowd_links(crowds.join(labels, "node").join(large, "node")))
 
 
 def _components(docs: DataFrame) -> DataFrame:

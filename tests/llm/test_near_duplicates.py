@@ -102,6 +102,22 @@ def test_sets():
     assert (shingles.shingle_sets(["q r s t u"])[0] == shingles.shingle_sets(["filler " * 70_001 + "\n", "q r s t u"])[1]).all()
 
 
+def test_common_elements():
+    draw = np.random.default_rng(3)
+    sets = [np.unique(draw.integers(0, draw.choice([20, 300, 4000]), draw.integers(1, 90))) for _ in range(70)]
+    plain = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    assert (np.triu(near_duplicates._common(sets), 1) == np.triu(plain, 1)).all()
+
+
+@pytest.mark.parametrize("nodes", [10, 1000])
+def test_blocks_of_crowds(spark, monkeypatch, nodes):
+    monkeypatch.setattr(near_duplicates, "BLOCK_NODES", nodes)
+    monkeypatch.setattr(near_duplicates, "SMALL", 2)
+    rows = crowded(7)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert sorted(map(tuple, near_duplicates.scan(docs).collect())) == plain_components(rows)
+
+
 def test_signature_estimates_similarity():
     draw = np.random.default_rng(0)
     one = draw.integers(0, 2**63, 3000, np.uint64)

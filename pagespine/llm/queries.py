@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pagespine.llm import contamination, languages, licenses, lines, near_duplicates, packing, pii, quality, secrets, warc
+from pagespine.llm import contamination, languages, licenses, lines, near_duplicates, oracles, packing, pii, quality, secrets, warc
 
 
 def _table(spark, sf_dir, name):
@@ -70,4 +70,4 @@ QUERIES = {
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 
-ORACLES = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+ORACLES = oracles.ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -5,6 +5,7 @@ import os
 import subprocess
 import sys
 
+import duckdb
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from pagespine.llm import quality
-from pagespine.llm.queries import QUERIES
+from pagespine.llm.queries import ORACLES, QUERIES
 from tests.llm import test_contamination, test_lines, test_near_duplicates, test_packing
 from tests.llm.conftest import SF
 
@@ -96,3 +97,15 @@ def test_clashing_names(spark, documents, name):
     docs = documents.limit(50).withColumn(name, F.lit(5))
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns
+
+
+def test_queries_equal_sql(spark):
+    """Where SQL can express an operator, both give the same rows."""
+    duck = duckdb.connect()
+    for table in ("documents", "pages", "benchmark"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    for name, statement in ORACLES.items():
+        found, wanted = QUERIES[name](spark, SF), duck.execute(statement)
+        columns = [c[0] for c in wanted.description]
+        assert sorted(columns) == sorted(found.columns)
+        assert sorted(map(repr, map(tuple, found.select(*columns).collect()))) == sorted(map(repr, wanted.fetchall())), name

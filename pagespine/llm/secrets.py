@@ -44,7 +44,7 @@ ALLOWED = (
     "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     "(?i)example|sample|placeholder|changeme|dummy|xxxx",
     "(?i)0123456789|abcdefgh",
-    "^(/?[A-Za-z_-]+)+/?[0-9]*$",
+    "^/?[A-Za-z_-]++(/[A-Za-z_-]++)*+/?[0-9]*$",
 )
 
 _SPAN = "array<struct<s: bigint, e: bigint, kind: int>>"
@@ -77,6 +77,11 @@ def window_entropy(chars: Column, width: int = WINDOW) -> Column:
     With S the sum of c * log2(c) over the counts in a window, its entropy is log2(width) - S / width.
     S changes only by the terms of the character that leaves and of the one that enters.
     """
+    # As the entry of an array, ``chars`` is worked out once and not at every step.
+    return F.element_at(F.transform(F.array(chars), lambda bound: _largest(bound, width)), 1)
+
+
+def _largest(chars: Column, width: int) -> Column:
     def count(i, first, last, of):
         return F.size(F.filter(F.slice(chars, first, last - first + 1), lambda c: c == F.element_at(chars, of)))
 

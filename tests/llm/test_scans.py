@@ -103,6 +103,15 @@ def test_entropy_of_windows(spark):
         assert value == pytest.approx(max([-sum(c / 20 * math.log2(c / 20) for c in w.values()) for w in windows], default=0), abs=1e-9)
 
 
+def test_long_candidates_and_many_hits(spark):
+    blob = hashlib.sha512(b"x").hexdigest().upper() * 200
+    texts = [blob, "token=abcdefgh1 " * 3000, "xy1" * 5_000, ("a" * 60 + "_1x ") * 50]
+    rows = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert rows[0].spans == f"entropy:0:{len(blob)}"
+    assert rows[1].n_assign == 3000 and rows[1].n_entropy == 0
+    assert rows[2].spans == "" and rows[3].n_entropy == 0
+
+
 def test_entropy_kind_and_allow_list(spark):
     texts = ["key sk9Qz81LmX02PqRt77vWaBcDe end", "id 123e4567-e89b-12d3-a456-426614174000", "order 12345678901234567890123", "EXAMPLEsk9Qz81LmX02PqRt77vW", "wort Donaudampfschifffahrtsgesellschaft2"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

@@ -10,6 +10,7 @@ Cases: a null or empty text has no words and no labels. Null ids and repeated ro
 result per input row; an empty table gives an empty result; other columns are ignored.
 """
 
+import bisect
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -158,8 +159,10 @@ def covered_spans(anchors):
     good = [c for c in _chains(anchors) if c[0] >= (SHORT_SHARE if sizes[c[2]] <= SHORT else LONG_SHARE)]
     taken, chosen = [], []
     for share, covered, number, first, last in sorted(good, key=lambda c: (-c[1], -c[0], c[2], c[3])):
-        if all(last < a or b < first for a, b in taken):
-            taken.append((first, last))
+        # Spans taken so far are disjoint, so only the neighbours can overlap.
+        at = bisect.bisect(taken, (first, last))
+        if (at == 0 or taken[at - 1][1] < first) and (at == len(taken) or last < taken[at][0]):
+            taken.insert(at, (first, last))
             chosen.append((first, last, TEMPLATES[number][0], share))
     return sorted(chosen)
 

@@ -66,5 +66,10 @@ def test_damaged_and_absent_templates():
     assert labels("the license of the library under version 2") == ""
 
 
+def test_many_licences_in_one_text():
+    found = licenses._scan(["Released under the MIT License.\nword\n" * 20_000])[0]
+    assert found[5] == "mit" and found[7].count("mit") == 20_000
+
+
 def test_empty_table(no_documents):
     assert licenses.scan(no_documents).count() == 0

@@ -9,6 +9,7 @@ ids and repeated rows stay, one ledger row per input row. An empty table gives a
 ledger. Further columns of the input are ignored by ``ledger`` and kept by ``filtered``.
 """
 
+import re
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame
@@ -18,17 +19,18 @@ from pagespine.llm.texts import fresh, over_texts
 
 MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long, "
-    "n_letters long, n_upper long, n_digits long"
+    "n_letters long, n_upper long, n_digits long, n_all_letters long, n_unspaced long"
 )
 
 #: Rules in the order of their bits: name, and when a document fails. Append only; bits are stored.
+#: Letters and capitals are ASCII; ``n_all_letters`` are those of every script, ``n_unspaced`` those of scripts without spaces between words.
 RULES = (
     ("few_words", "n_words < 50"),
     ("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
     ("symbols", "10 * n_symbols > 3 * n_words"),
     ("duplicate_lines", "2 * n_dup_lines > n_lines"),
-    ("shouting", "2 * n_upper > n_letters"),
-    ("word_length", "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
+    ("shouting", "2 * n_upper > n_all_letters and n_letters >= 20"),
+    ("word_length", "( word_chars < 2 * n_words OR word_chars > 20 * n_words ) and 2 * n_unspaced <= n_all_letters"),
     ("digits", "10 * n_digits > 6 * word_chars"),
 )
 
@@ -41,12 +43,26 @@ POLICIES = {
 _SPACE, _SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
 _UPPER, _DIGITS = bytes(range(65, 91)), bytes(range(48, 58))
 _LETTERS = _UPPER + _UPPER.lower()
+_BEYOND_ASCII = re.compile(r"[^\x00-\x7f]+")
+#: Thai, Lao, Tibetan, Burmese, Khmer, Tai, Balinese and Javanese, kana, bopomofo, Yi and Chinese characters.
+_UNSPACED = re.compile(
+    "[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u1b00-\u1b7f\u3005-\u3007\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\ua980-\ua9df\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9d\U0001b000-\U0001b16f\U00020000-\U0003ffff]"
+)
 
 
 def _count(data: bytes, chars: bytes) -> int:
     return len(data) - len(data.translate(None, chars))
 
 
+def _beyond_ascii(text: str) -> tuple:
+    """Letters outside ASCII, and those of them in scripts without spaces between words."""
+    if text.isascii():
+        return 0, 0
+    letters = [(c, n) for c, n in Counter("".join(_BEYOND_ASCII.findall(text))).items() if c.isalpha()]
+    return sum(n for _, n in letters), sum(n for c, n in letters if _UNSPACED.match(c))
+
+
 def _repeated(words: list) -> int:
     """Words that lie in a three-word window found twice or more."""
     windows = list(zip(words, words[1:], words[2:], strict=False))
@@ -66,9 +82,10 @@ def measure(texts: list) -> list:
         text = text or ""
         data = text.encode()
         words, lines = data.split(), [line for line in data.split(b"\n") if line.strip()]
+        letters, (beyond, unspaced) = _count(data, _LETTERS), _beyond_ascii(text)
         rows.append((
             len(words), len(text) - _count(data, _SPACE), _count(data, _SYMBOLS), len(lines), len(lines) - len(set(lines)),
-            _repeated(words), _count(data, _LETTERS), _count(data, _UPPER), _count(data, _DIGITS),
+            _repeated(words), letters, _count(data, _UPPER), _count(data, _DIGITS), letters + beyond, unspaced,
         ))
     return rows
 

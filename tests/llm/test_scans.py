@@ -133,6 +133,21 @@ def test_quality_measures(docs):
         assert bool(row.failures & quality.mask("base")) == failed
 
 
+def test_quality_of_other_scripts(spark):
+    cyrillic = " ".join(f"слово{c}{d} текст" for c in "абвгдежз" for d in "клмноп")
+    chinese = " ".join("天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往" + chr(0x4E00 + i) * 9 for i in range(80))
+    shout = " ".join(f"BUY{c}{d} NOW" for c in "ABCDEFGH" for d in "KLMNOP")
+    texts = [cyrillic + " NATO COVID-19", chinese + " NATO", shout, shout + " é", " ".join(map(str, range(60))) + " A", "".join(chr(97 + i % 26) for i in range(3000)) + " b" * 60]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names = [n for n, _ in quality.RULES]
+    bits = {r.doc_id: {n for i, n in enumerate(names) if r.failures >> i & 1} for r in quality.ledger(docs).collect()}
+    assert [bits[0], bits[1]] == [set(), set()]
+    assert "shouting" in bits[2] & bits[3]
+    assert "shouting" not in bits[4]
+    assert "word_length" in bits[5]
+    assert {r.doc_id for r in quality.filtered(docs).collect()} >= {0, 1}
+
+
 def test_quality_policies_and_ablation(documents):
     book = quality.ledger(documents)
     bits = [r.failures for r in book.collect()]

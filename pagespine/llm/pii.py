@@ -36,7 +36,7 @@ _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _NUMBER = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOGIN = re.compile(r"[A-Za-z0-9._%+-]+:[^\s/@:]+(?=@[A-Za-z0-9])")
-_AFTER_CUE = r"(?:\s?(?:number|no|nr|num)\b\.?)?\s{0,2}[:#=]?\s{0,2}"
+_AFTER_CUE = r"(?:\s?(?i:number|no|nr|num)\b\.?)?\s{0,2}[:#=]?\s{0,2}"
 _ACCOUNT = re.compile(_AFTER_CUE + r"([0-9]{6,17})(?![A-Za-z0-9-])")
 _IBAN = re.compile(_AFTER_CUE + r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 _SSN = re.compile(_AFTER_CUE + r"((?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![0-9-])")
@@ -48,8 +48,7 @@ def _anchors():
     for sign in ("@", "+", "://", *"0123456789"):
         machine.add_word(sign, (("digit" if sign.isdigit() else sign), len(sign)))
     for cue, kind in CUES.items():
-        for form in (cue, cue.upper(), cue.capitalize()):
-            machine.add_word(form, (kind, len(form)))
+        machine.add_word(cue, (kind, len(cue)))
     machine.make_automaton()
     return machine
 
@@ -78,7 +77,8 @@ def spans_of(text: str) -> dict:
     """Spans (start, end) by kind, in code points with the end excluded."""
     found = {kind: [] for kind in KINDS}
     done = dict.fromkeys(KINDS, 0)
-    for last, (anchor, length) in _anchors().iter(text):
+    # Cues are found in any spelling; letters of ASCII only are lowered, so that offsets stay.
+    for last, (anchor, length) in _anchors().iter(text.encode().lower().decode()):
         start = last + 1 - length
         if anchor == "digit":
             if start >= done["ip"] and (start == done["ip"] or not "0" <= text[start - 1] <= "9"):

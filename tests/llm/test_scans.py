@@ -83,6 +83,13 @@ def test_pii_cues():
     assert not any(pii.spans_of("a discount 123456 for accounts of compte rendu 2020, bassn 123-45-6789").values())
 
 
+def test_pii_cues_in_any_case():
+    for text in ("Social Security Number: 123-45-6789", "SOCIAL security 123-45-6789", "É sSn No. 123-45-6789"):
+        assert pii.spans_of(text)["ssn"] == [(len(text) - 11, len(text))]
+    assert pii.spans_of("İ IbAn DE89 3704 0044 0532 0130 00")["iban"] == [(7, 34)]
+    assert pii.spans_of("AcCount NO. 12345678")["account"] == [(12, 20)]
+
+
 def test_secrets_base_kinds(docs):
     for (_, text), row in zip(texts_of(docs), by_text(docs, secrets.scan(docs)), strict=True):
         plain = plain_secrets(text)

@@ -27,24 +27,28 @@ ASSIGN = (
 )
 ACCESS = "AKIA[A-Z0-9]{12,}"
 HEX = "[0-9a-f]{32,}"
-#: Runs of 20 or more characters with a digit among them.
-CANDIDATE = "(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
+#: Runs of 20 or more characters.
+CANDIDATE = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 
 WINDOW = 20
 
 #: Character classes in the order in which they are tried, with the bits a window must reach.
 CLASSES = (
     ("^[0-9_=+/-]+$", None),
+    ("^[A-Za-z+/_=-]+$", 3.6),
     ("^[0-9a-fA-F-]+$", 3.0),
     ("^([a-z0-9_-]+|[A-Z0-9_-]+)$", 3.4),
     ("^[A-Za-z0-9+/_=-]+$", 3.6),
 )
 
+#: Letters of one case, or words in camel case: after capitals come two small letters or more.
+_NAME = "(?:[a-z]++|[a-z]?(?:[A-Z]*+[a-z]{2,}+)*+[A-Z]*+)"
+
 ALLOWED = (
     "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     "(?i)example|sample|placeholder|changeme|dummy|xxxx",
     "(?i)0123456789|abcdefgh",
-    "^/?[A-Za-z_-]++(/[A-Za-z_-]++)*+/?[0-9]*$",
+    f"^{_NAME}(?:[+/_=-]++{_NAME})*+[0-9]*$",
 )
 
 _SPAN = "array<struct<s: bigint, e: bigint, kind: int>>"

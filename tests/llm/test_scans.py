@@ -125,6 +125,14 @@ def test_entropy_kind_and_allow_list(spark):
     assert [r.spans for r in secrets.scan(docs).orderBy("doc_id").collect()] == ["entropy:4:29", "", "", "", ""]
 
 
+def test_keys_without_digits(spark):
+    names = ["getUserNameFromDatabaseConnection", "parseHTTPResponseHeaders", "/usr/local/share/SomeProject/FileName", "iPhoneAppStoreConnectApi",
+             "Donaudampfschifffahrtsgesellschaft", "state-of-the-art-and-so-forth", "MAX_LENGTH_OF_ALL_NAMES", "SomeParameterName=SomeOtherValue", "x" * 5_000]
+    texts = ["key qXvTbhLmPzRtKwNcYfGd end", "key qXvTbhLmPzRtKwNcYfGd7 end", " ".join(names)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.spans for r in secrets.scan(docs).orderBy("doc_id").collect()] == ["entropy:4:24", "entropy:4:25", ""]
+
+
 def test_secrets_run_without_python(documents, capsys):
     secrets.scan(documents).explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)

@@ -62,4 +62,33 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM judged
 """
 
-ORACLES = {"op6_contamination": CONTAMINATION, "op9_warc": ARCHIVES, "op10_quality_rules": QUALITY}
+AUDIT = r"""
+WITH doc AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+first AS (SELECT text, min(doc_id) AS least FROM doc GROUP BY text),
+label AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+          FROM labels GROUP BY doc_id),
+failed AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                  CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+                  || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END
+                  || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS f
+           FROM doc JOIN first USING (text) LEFT JOIN label USING (doc_id)),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+           WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, CAST(s AS INTEGER) AS step, filter_order[s] AS own, filter_order[1 : s - 1] AS earlier FROM orders, unnest(range(1, 6)) t(s)),
+kind AS (SELECT part, good, toxic, f, count(*) AS n FROM failed GROUP BY ALL),
+told AS (SELECT part, filter_order, step, own, n, good, toxic, f, contains(f, own) AS fails,
+                length(regexp_replace('.' || f, '[.' || earlier || ']', '', 'g')) < length(f) AS gone FROM kind, steps),
+counted AS (SELECT part, filter_order, step, own, sum(n) FILTER (NOT gone AND NOT fails) AS kept, sum(n) FILTER (NOT gone AND fails) AS removed,
+                   sum(n) FILTER (gone AND fails) AS redundant, sum(n) FILTER (f = own) AS unique_fails,
+                   sum(n * good) FILTER (NOT gone AND fails) AS good_lost, sum(n * toxic) FILTER (NOT gone AND fails) AS toxic_lost
+            FROM told GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted
+"""
+
+ORACLES = {"op13_filter_audit": AUDIT, "op6_contamination": CONTAMINATION, "op9_warc": ARCHIVES, "op10_quality_rules": QUALITY}

@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pagespine.llm import contamination, languages, licenses, lines, near_duplicates, oracles, packing, pii, quality, secrets, warc
+from pagespine.llm import (
+    byte_bpe, contamination, filter_audit, languages, licenses, lines, near_duplicates, oracles, packing, periodic_runs, pii, quality, secrets, warc,
+)
 
 
 def _table(spark, sf_dir, name):
@@ -61,11 +63,36 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
+def op11_byte_bpe(spark, sf_dir):
+    made = byte_bpe.decoded(byte_bpe.encoded(_table(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    found = periodic_runs.scan(periodic_runs.with_periodic_tails(_table(spark, sf_dir, "documents")))
+    run = "struct<start: bigint, length: bigint, period: bigint>"
+    # Runs are listed by start, then period; only a strictly greater exponent takes the place of an earlier one.
+    strongest = F.aggregate("runs", F.lit(None).cast(run), lambda best, r: F.when(
+        best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    ended = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    return found.withColumn("best", strongest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(ended, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_filter_audit(spark, sf_dir):
+    words = filter_audit.survival_words(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return filter_audit.audit(filter_audit.subset_survivors(words))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pii, op2_secrets, op3_near_duplicates, op4_packing, op5_languages, op6_contamination, op7_line_dedup,
-        op8_licenses, op9_warc, op10_quality_rules,
+        op8_licenses, op9_warc, op10_quality_rules, op11_byte_bpe, op12_periodic_runs, op13_filter_audit,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run

@@ -31,11 +31,11 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Rows wider than this are merged by themselves.
 WIDEST = 256
 #: Cells of one matrix.
-CELLS = 1 << 18
+CELLS = 1 << 17
 #: Words whose ids a task remembers. Only speed depends on it.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Words of a text that are cut at a time.
-WORDS_AT_ONCE = 400_000
+WORDS_AT_ONCE = 200_000
 
 NONE = np.int32(2**31 - 1)
 PAD = np.int64(-1)
@@ -152,10 +152,8 @@ def merge_long(ids: np.ndarray, pairs: PairTable) -> bytes:
 class ByteBpe:
     """A vocabulary of ranks, and the words met so far."""
 
-    def __init__(self, path: str, pattern: str):
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.bytes_of = dict(zip(self.ranks.values(), self.ranks, strict=True))
+    def __init__(self, path: str | None, pattern: str):
+        self.ranks = _ranks(path)
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         made = [
             (self.ranks[token[:cut]], self.ranks[token[cut:]], rank)
@@ -232,8 +230,11 @@ class ByteBpe:
         settle()
         return [b"".join(one) for one in ids]
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+def _ranks(path: str | None) -> dict:
+    """Rank of every token; None is the public vocabulary of the machine that asks."""
+    with open(path or public_tokenizers.path(VOCABULARY), "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
 @lru_cache(maxsize=2)
@@ -260,8 +261,18 @@ def _adapted(pattern: str):
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> ByteBpe:
-    """Loaded where it is used, once per worker; None is the public vocabulary of that machine."""
-    return ByteBpe(path or public_tokenizers.path(VOCABULARY), pattern)
+    """Loaded where it is used, once per worker."""
+    return ByteBpe(path, pattern)
+
+
+@lru_cache(maxsize=2)
+def token_bytes(path: str | None = None) -> dict:
+    """The bytes of each id; all that decoding needs."""
+    return {rank: token for token, rank in _ranks(path).items()}
+
+
+def decode(ids: bytes, path: str | None = None) -> bytes:
+    return b"".join(map(token_bytes(path).__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def encoded(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -274,12 +285,7 @@ def encoded(docs: DataFrame, path: str | None = None, pattern: str = public_toke
     return docs.select("doc_id", made("text").alias("r")).select("doc_id", "r.n_tokens", "r.ids")
 
 
-def decoded(tokens: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+def decoded(tokens: DataFrame, path: str | None = None) -> DataFrame:
     """The rows of ``encoded`` with the bytes that their ids stand for."""
-
-    def kernel(rows):
-        bpe = vocabulary(path, pattern)
-        return [(bpe.decode(ids or b""),) for ids in rows]
-
-    back = over_texts(kernel, "bytes binary")
+    back = over_texts(lambda rows: [(decode(ids or b"", path),) for ids in rows], "bytes binary")
     return tokens.select("doc_id", "n_tokens", "ids", back("ids").alias("r")).select("doc_id", "n_tokens", "ids", "r.bytes")

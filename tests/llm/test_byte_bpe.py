@@ -40,7 +40,7 @@ def test_pair_table():
 def test_ids_are_the_librarys(bpe, library, text):
     (ids,) = bpe.encode([text])
     assert ids_of(ids) == library.encode_ordinary(text)
-    assert bpe.decode(ids).decode() == text
+    assert byte_bpe.decode(ids).decode() == text
 
 
 def test_random_words(bpe, library):

@@ -289,3 +289,13 @@ def decoded(tokens: DataFrame, path: str | None = None) -> DataFrame:
     """The rows of ``encoded`` with the bytes that their ids stand for."""
     back = over_texts(lambda rows: [(decode(ids or b"", path),) for ids in rows], "bytes binary")
     return tokens.select("doc_id", "n_tokens", "ids", back("ids").alias("r")).select("doc_id", "n_tokens", "ids", "r.bytes")
+
+
+def round_trip(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """What ``decoded(encoded(docs))`` gives, in one pass of the same workers."""
+
+    def kernel(texts):
+        return [(len(ids) // 4, ids, decode(ids, path)) for ids in vocabulary(path, pattern).encode(texts)]
+
+    made = over_texts(kernel, "n_tokens long, ids binary, bytes binary")
+    return docs.select("doc_id", made("text").alias("r")).select("doc_id", "r.n_tokens", "r.ids", "r.bytes")

@@ -64,7 +64,7 @@ def op10_quality_rules(spark, sf_dir):
 
 
 def op11_byte_bpe(spark, sf_dir):
-    made = byte_bpe.decoded(byte_bpe.encoded(_table(spark, sf_dir, "documents")))
+    made = byte_bpe.round_trip(_table(spark, sf_dir, "documents"))
     return made.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 

@@ -92,6 +92,11 @@ def test_odd_documents(monkeypatch, spark, odd_documents, library):
     check(odd_documents, query(monkeypatch, spark, odd_documents), library)
 
 
+def test_separate_steps(odd_documents):
+    apart = byte_bpe.decoded(byte_bpe.encoded(odd_documents)).collect()
+    assert sorted(map(repr, apart)) == sorted(map(repr, byte_bpe.round_trip(odd_documents).collect()))
+
+
 def test_empty_table(monkeypatch, spark, no_documents):
     assert query(monkeypatch, spark, no_documents) == []
 

@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 
 from pagespine.constants import BLOCKS_PER_TASK, BROADCAST_BYTES, N_CLUSTERS, RANKED_LABELS
 from pagespine.operators.spread import BUCKET, attach
-from pagespine.session import checkpointed
+from pagespine.session import checkpointed, stage_table
 
 DOC = "document_name"
 DIMS = 7
@@ -97,20 +97,37 @@ def _point_labeller(n_clusters: int):
 
 
 def cluster_small(scaled: DataFrame, n_clusters: int = N_CLUSTERS) -> DataFrame:
-    """Documents of bounded size: one packed row each, whose points alone go to NumPy."""
+    """Documents of bounded size: one packed row of points each. Gives the labels, and the name that a cluster's rank stands for."""
     label = _point_labeller(n_clusters)
-    kept = [c for c in scaled.columns if c not in (DOC, "seq", *AXES)]
-    row = F.struct("seq", *kept, F.array(*AXES).alias("point"))
+    row = F.struct("seq", BUCKET, "fontsize", F.array(*AXES).alias("point"))
     packed = scaled.groupBy(DOC).agg(F.sort_array(F.collect_list(row)).alias("rows"))
     labelled = packed.select(DOC, "rows", label(F.col("rows.point"), F.col("rows.fontsize")).alias("found"))
-    labelled = labelled.select(DOC, "rows", "found.labels", "found.settled")
-    pair = labelled.select(DOC, "settled", F.explode(F.arrays_zip("rows", "labels")).alias("pair"))
-    return pair.select(
-        DOC, F.col("pair.rows.seq").alias("seq"), *[F.col(f"pair.rows.{c}").alias(c) for c in kept],
-        F.col("pair.labels").alias("cluster_label"), "settled",
+    zipped = F.transform(F.arrays_zip(F.col("rows.seq"), F.col(f"rows.{BUCKET}"), F.col("rows.fontsize"), F.col("found.labels")), lambda r: F.struct(
+        r["seq"].alias("seq"), r[BUCKET].alias(BUCKET), r["fontsize"].alias("fontsize"), r["labels"].alias("cluster_label")))
+    together = labelled.select(DOC, F.col("found.settled").alias("settled"), zipped.alias("members"))
+    named = together.withColumn("names", _names_in(F.col("members"), n_clusters))
+    member = named.select(DOC, "settled", "names", F.explode("members").alias("m"))
+    return member.select(
+        DOC, F.col(f"m.{BUCKET}").alias(BUCKET), F.col("m.seq").alias("seq"), F.col("m.cluster_label").alias("cluster_label"), "settled",
+        F.get("names", F.col("m.cluster_label")).alias("cluster_name"),
     )
 
 
+def _names_in(members: Column, n_clusters: int) -> Column:
+    """The label of each cluster number, as ``cluster_ranks`` ranks them, from a document's members in one row."""
+    def ranked(cluster):
+        own = F.filter(members, lambda m: m["cluster_label"] == cluster)
+        known = F.filter(own, lambda m: m["fontsize"].isNotNull())
+        total = F.aggregate(known, F.lit(0.0), lambda t, m: t + m["fontsize"].cast("double"))
+        mean = F.round(total / F.nullif(F.size(known), F.lit(0)), 6)
+        return F.when(F.size(own) > 0, F.struct(mean.isNull().alias("unknown"), (-mean).alias("size"), cluster.alias("cluster")))
+
+    numbers = F.array(*[F.lit(j) for j in range(n_clusters)])
+    order = F.sort_array(F.filter(F.transform(numbers, ranked), lambda r: r.isNotNull()))["cluster"]
+    names = F.array(*[F.lit(label) for label in RANKED_LABELS])
+    return F.transform(numbers, lambda j: F.coalesce(F.get(names, F.array_position(order, j).cast("int") - 1), F.lit(RANKED_LABELS[-1])))
+
+
 def _distance(center: str) -> Column:
     """Squared distance of a point to a center; null when the document has no such center."""
     return F.expr(" + ".join(f"({a} - {center}.{a}) * ({a} - {center}.{a})" for a in AXES))
@@ -205,11 +222,14 @@ class LargeDocumentKMeans:
             moving = moved.filter("NOT steady AND NOT back").select(DOC, *self.names, F.concat("seen", F.array(state)).alias("seen"))
         return reduce(DataFrame.unionByName, finished)
 
+    def labels(self, centers: DataFrame | None = None) -> DataFrame:
+        """``cluster_label`` and ``settled`` of each point."""
+        centers = checkpointed(self.settle(centers))
+        return self.assign(centers).select(DOC, BUCKET, "seq", "fontsize", "cluster_label", "settled")
+
     def fit(self, centers: DataFrame | None = None) -> DataFrame:
         """Blocks with ``cluster_label`` and ``settled``."""
-        centers = checkpointed(self.settle(centers))
-        labels = self.assign(centers).select(DOC, BUCKET, "seq", "cluster_label", "settled")
-        return self.rows.drop(*AXES).join(labels, [DOC, BUCKET, "seq"])
+        return self.rows.drop(*AXES).join(self.labels(centers).drop("fontsize"), [DOC, BUCKET, "seq"])
 
 
 def cluster_scaled(
@@ -218,14 +238,27 @@ def cluster_scaled(
     task_blocks: int = BLOCKS_PER_TASK,
     any_large: bool | None = None,
 ) -> DataFrame:
-    """Add ``cluster_label`` and ``settled``, each document in the way that suits its size."""
+    """Add ``cluster_label`` and ``settled``."""
+    found = cluster_members(scaled, n_clusters, task_blocks, any_large).drop("cluster_name")
+    return scaled.drop(*AXES).join(found, [DOC, BUCKET, "seq"])
+
+
+def cluster_members(
+    scaled: DataFrame,
+    n_clusters: int = N_CLUSTERS,
+    task_blocks: int = BLOCKS_PER_TASK,
+    any_large: bool | None = None,
+) -> DataFrame:
+    """``cluster_label``, ``settled`` and ``cluster_name`` of each block, each document in the way that suits its size."""
     large = scaled.filter(F.col("n_blocks") > task_blocks)
     if any_large is None:
         any_large = not large.isEmpty()
     small = cluster_small(scaled.filter(F.col("n_blocks") <= task_blocks), n_clusters)
     if not any_large:
         return small
-    return small.unionByName(LargeDocumentKMeans(large, n_clusters).fit())
+    found = stage_table(LargeDocumentKMeans(large, n_clusters).labels(), "large")
+    named = cluster_labels(found).withColumnRenamed("predicted_label", "cluster_name")
+    return small.unionByName(named.select(*small.columns))
 
 
 def cluster_blocks(blocks: DataFrame, n_clusters: int = N_CLUSTERS, task_blocks: int = BLOCKS_PER_TASK) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pagespine.constants import BROADCAST_DOCUMENTS, HEADING_KEYWORDS, LINES_PER_STRETCH, UNKNOWN_STYLE
 from pagespine.functions import text as T
 from pagespine.functions.numbers import round_half_even
-from pagespine.operators.spread import reading_key
+from pagespine.operators.spread import BUCKET, bucket_of, dealt, page_keys, reading_key
 from pagespine.session import stage_table
 
 PAGE = ["document_name", "page_number"]
@@ -63,7 +63,7 @@ def style_changes(lines: DataFrame, long_pages: bool | None = None) -> DataFrame
         long_pages = has_long_pages(lines)
     before = F.lag(F.struct("fontname", "fontsize"))
     if not long_pages:
-        return _changes(lines.withColumn("previous", before.over(W.partitionBy(*PAGE).orderBy("line_no"))).withColumn("stretch", F.lit(0)))
+        return _changes(lines.withColumn("previous", before.over(W.partitionBy(*page_keys(lines)).orderBy("line_no"))).withColumn("stretch", F.lit(0)))
     pages = lines.filter(F.col("line_no") >= LINES_PER_STRETCH).select(*PAGE).distinct()
     if pages.limit(BROADCAST_DOCUMENTS + 1).count() <= BROADCAST_DOCUMENTS:
         pages = F.broadcast(pages)
@@ -91,7 +91,7 @@ def number_blocks(lines: DataFrame, keywords=HEADING_KEYWORDS, long_pages: bool
     if long_pages is None:
         long_pages = has_long_pages(lines)
     opens = F.col("style_change") | (F.col("follows") & T.starts_with_keyword(F.col("text"), keywords))
-    in_order = W.partitionBy(*PAGE, *(["stretch"] if long_pages else [])).orderBy("line_no")
+    in_order = W.partitionBy(*page_keys(lines), *(["stretch"] if long_pages else [])).orderBy("line_no")
     count = F.sum("opens").over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow)).cast("int")
     numbered = style_changes(lines, long_pages).withColumn("opens", opens.cast("int")).withColumn("block_no", count)
     if long_pages:
@@ -110,7 +110,7 @@ def fold_blocks(numbered: DataFrame) -> DataFrame:
     All lines of a block have one style, so its greatest value is that of the last line too.
     """
     return (
-        numbered.groupBy(*PAGE, "block_no")
+        numbered.groupBy(*page_keys(numbered), "block_no")
         .agg(
             F.expr("listagg(text, '\\n') WITHIN GROUP (ORDER BY line_no)").alias("text"),
             F.max("fontname").alias("fontname"),
@@ -122,7 +122,7 @@ def fold_blocks(numbered: DataFrame) -> DataFrame:
         .select(
             "document_name", "page_number", "block_no",
             reading_key(F.col("page_number"), F.col("block_no")).alias("seq"),
-            "text", "fontname", "fontsize", "bbox", "page_width", "page_height",
+            "text", "fontname", "fontsize", "bbox", "page_width", "page_height", *([BUCKET] if BUCKET in numbered.columns else []),
         )
     )
 
@@ -134,6 +134,18 @@ def to_raw_blocks(lines: DataFrame, keywords=HEADING_KEYWORDS, long_pages: bool
     return fold_blocks(number_blocks(nonblank_lines(lines), keywords, long_pages))
 
 
+def to_dealt_blocks(lines: DataFrame, keywords=HEADING_KEYWORDS, long_pages: bool = False) -> DataFrame:
+    """Blocks that lie by document and bucket.
+
+    Lines of ordinary pages are dealt out so at once, in their only shuffle. With long pages, whose blocks fill
+    several buckets, the blocks are.
+    """
+    if long_pages:
+        return dealt(to_raw_blocks(lines, keywords, True))
+    bucketed = nonblank_lines(horizontal_lines(lines)).withColumn(BUCKET, bucket_of(F.col("page_number"), F.lit(0)))
+    return fold_blocks(number_blocks(dealt(bucketed), keywords, False))
+
+
 def list_positions(blocks: DataFrame, order=("seq",)) -> DataFrame:
     """The place of each block in its document by page and ``order``, counted from 0 without gaps.
 

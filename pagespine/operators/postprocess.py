@@ -85,12 +85,16 @@ def keep_first_title(blocks: DataFrame) -> DataFrame:
 
 def demote(blocks: DataFrame, max_words: int = MAX_HEADING_WORDS) -> DataFrame:
     """Long texts and lower-case starts become body."""
-    words = F.coalesce(F.col("features.word_count"), F.lit(0))
     headline = F.col("predicted_label").isin("Title", *HEADING_LEVELS)
-    unfit = headline & ((words > max_words) | ~F.col("traits.valid_start"))
+    unfit = headline & is_unfit(max_words)
     return blocks.withColumn("predicted_label", F.when(unfit, "Body").otherwise(F.col("predicted_label")))
 
 
+def is_unfit(max_words: int = MAX_HEADING_WORDS) -> Column:
+    """Too long for a heading, or starting in lower case."""
+    return (F.coalesce(F.col("features.word_count"), F.lit(0)) > max_words) | ~F.col("traits.valid_start")
+
+
 def candidates(blocks: DataFrame) -> DataFrame:
     """Blocks that the corrections may leave a title or heading; the rest is body whatever happens."""
     return blocks.filter((numbered_label() != "Body") & ~F.col("traits.rejected"))

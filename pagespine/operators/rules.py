@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from pagespine.constants import FIRST_ON_PAGE_SPACE, TITLE_WORDS
-from pagespine.operators.spread import BUCKET, attach
+from pagespine.operators.spread import BUCKET, attach, page_keys
 from pagespine.operators.traits import with_traits
 
 PAGE = ["document_name", "page_number"]
@@ -17,12 +17,23 @@ def rule_order() -> Column:
     return F.struct(F.col("page_number").alias("page"), depth.alias("depth"), F.col("seq").alias("seq"))
 
 
+def with_gaps(blocks: DataFrame) -> DataFrame:
+    """Add ``gap`` and ``tops_page`` (see ``with_space_before``) to blocks of ordinary pages, which a task orders where they lie."""
+    top = F.coalesce(F.col("features.y_coordinate"), F.lit(0.0))
+    above = F.lag("top").over(W.partitionBy(*page_keys(blocks)).orderBy(F.desc("top"), "seq"))
+    gap = F.coalesce(F.col("above") - F.col("top"), F.lit(FIRST_ON_PAGE_SPACE))
+    topped = blocks.withColumn("top", top).withColumn("above", above)
+    return topped.withColumns({"gap": gap, "tops_page": F.col("above").isNull()}).drop("top", "above")
+
+
 def with_space_before(blocks: DataFrame) -> DataFrame:
     """Add the distance to the block above on the page, and ``tops_page`` for the block without one.
 
     Blocks at one height have no distance except the first of them, so the
     window runs over the distinct heights of a page and not over its blocks.
     """
+    if "gap" in blocks.columns:
+        return blocks.withColumn("features", F.col("features").withField("space_before", F.col("gap"))).drop("gap")
     top = F.coalesce(F.col("features.y_coordinate"), F.lit(0.0))
     heights = blocks.groupBy(*PAGE, top.alias("top")).agg(F.min("seq").alias("seq"))
     above = F.lag("top").over(W.partitionBy(*PAGE).orderBy(F.desc("top")))
@@ -72,24 +83,28 @@ def score_label(score: Column) -> Column:
 
 def score_blocks(blocks: DataFrame, title_words: int = TITLE_WORDS) -> DataFrame:
     """Add ``place``, spacing, score and label; noise is labelled, not yet dropped."""
-    given = blocks.schema["features"].dataType.fieldNames()
-    optional = [name for name in ("is_italics", "is_underline", "is_all_caps") if name in given]
-    first = F.col("tops_page") & (F.col("page_number") == F.col("first_page"))
-    short = F.col("features.word_count") < title_words
     return (
         with_space_before(with_first_page(with_traits(blocks)))
         .withColumn("place", rule_order())
-        .withColumn("heading_score", heading_score(optional))
-        .withColumn(
-            "predicted_label",
-            F.when(F.col("traits.noise"), "Noise")
-            .when(first & short, "Title")
-            .otherwise(score_label(F.col("heading_score"))),
-        )
+        .withColumn("heading_score", heading_score(optional_styles(blocks)))
+        .withColumn("predicted_label", scored_label(title_words))
         .drop("first_page", "tops_page", BUCKET)
     )
 
 
+def optional_styles(blocks: DataFrame) -> list[str]:
+    """Styles that count for a heading and that some inputs give."""
+    given = blocks.schema["features"].dataType.fieldNames()
+    return [name for name in ("is_italics", "is_underline", "is_all_caps") if name in given]
+
+
+def scored_label(title_words: int = TITLE_WORDS) -> Column:
+    """The label of a block with its score, spacing and first page."""
+    first = F.col("tops_page") & (F.col("page_number") == F.col("first_page"))
+    short = F.col("features.word_count") < title_words
+    return F.when(F.col("traits.noise"), "Noise").when(first & short, "Title").otherwise(score_label(F.col("heading_score")))
+
+
 def rule_labels(blocks: DataFrame, title_words: int = TITLE_WORDS) -> DataFrame:
     """Labelled blocks without noise; ``place`` keeps the order they are in."""
     return score_blocks(blocks, title_words).filter("predicted_label != 'Noise'").drop("heading_score")

@@ -11,9 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagespine.constants import BLOCKS_PER_BUCKET, PAGES_PER_BUCKET
+from pagespine.session import parts_of
 
 BUCKET = "bucket"
 
+#: The keys that stage tables are stored by.
+PLACE = ["document_name", BUCKET]
+
 
 def reading_key(page: Column, block_no: Column) -> Column:
     """One number that sorts blocks by page and then by place on the page."""
@@ -30,6 +34,17 @@ def with_bucket(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn(BUCKET, bucket_of(F.col("page_number"), F.col("seq")))
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows in the tasks of their document's buckets: one shuffle that all later steps by ``PLACE`` build on."""
+    rows = rows if BUCKET in rows.columns else with_bucket(rows)
+    return rows.repartition(parts_of(rows.sparkSession), *PLACE)
+
+
+def page_keys(rows: DataFrame) -> list[str]:
+    """Keys of a page. A bucket holds whole pages here, so it does not divide them, but it lets dealt rows stay in place."""
+    return ["document_name", *([BUCKET] if BUCKET in rows.columns else []), "page_number"]
+
+
 def attach(rows: DataFrame, facts: DataFrame, on: list[str], how: str = "left", places: DataFrame | None = None) -> DataFrame:
     """Join ``facts``, one row per ``on``, to ``rows``.
 

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from pagespine import constants as C
 from pagespine.operators import clusters, layout, outline, postprocess, rules, style
 from pagespine.operators.features import with_features, with_vectors
-from pagespine.operators.spread import BUCKET, attach, with_bucket
+from pagespine.operators.spread import BUCKET, PLACE, attach, dealt
 from pagespine.operators.traits import with_traits
 from pagespine.session import stage_table
 from pagespine.sources import files, report, sinks
 
 DOC = "document_name"
 
+#: What blocks of ordinary pages carry from the beginning, for the rules.
+GAP = ("gap", "tops_page")
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -51,20 +54,43 @@ def routed(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return attach(with_traits(blocks), document_facts(blocks, settings), [DOC], "inner")
 
 
+def placed_blocks(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Blocks with traits, dealt by document and bucket; on ordinary pages with the gap above each block too."""
+    long_pages = layout.has_long_pages(lines) if settings.long_pages is None else settings.long_pages
+    raw = layout.to_dealt_blocks(lines, settings.heading_keywords, long_pages)
+    blocks = with_vectors(with_features(raw))
+    return with_traits(blocks if long_pages else rules.with_gaps(blocks))
+
+
 def first_labels(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Labels of either labeller, before corrections. Give it a stored table."""
-    rows = stage_table(routed(blocks, settings), "routed")
-    own = [c for c in with_traits(blocks).columns if c != BUCKET]
-    ruled = rules.rule_labels(rows.filter("is_uniform").select(*own, BUCKET, "first_page"), settings.title_words)
+    """Labels of either labeller, before corrections, with the bucket of each row. Give it a stored table.
+
+    The routed blocks are stored by document and bucket, the labels of clustered blocks beside them, so that they
+    meet without a shuffle; rows are labelled in one pass over both kinds of documents.
+    """
+    placed = blocks if BUCKET in blocks.columns else dealt(blocks)
+    rows = stage_table(routed(placed, settings), "routed", PLACE)
     varied = rows.filter("NOT is_uniform")
-    clustered = clusters.cluster_scaled(
-        clusters.scale(varied.drop("is_uniform", "first_page")),
+    found = clusters.cluster_members(
+        clusters.scale(varied.select(DOC, BUCKET, "seq", "fontsize", "n_blocks", "feature_vector", *clusters.MOMENTS)),
         settings.n_clusters,
         settings.task_blocks,
         any_large=not varied.filter(F.col("n_blocks") > settings.task_blocks).isEmpty(),
-    ).drop("n_blocks")
-    ranked = clusters.cluster_labels(stage_table(clustered, "clusters")).withColumn("place", postprocess.list_order())
-    return ruled.unionByName(ranked, allowMissingColumns=True).drop(BUCKET)
+    )
+    members = stage_table(dealt(found), "clusters", PLACE)
+    rows = rows.drop("n_blocks", *clusters.MOMENTS)
+    own_features = F.col("features")
+    if "space_before" not in rows.schema["features"].dataType.fieldNames():
+        own_features = own_features.withField("space_before", F.lit(None).cast("double"))
+    scored = rules.with_space_before(rows.withColumn("own_features", own_features))
+    scored = scored.withColumn("heading_score", rules.heading_score(rules.optional_styles(rows)))
+    labelled = scored.join(members, [*PLACE, "seq"], "left").withColumns({
+        "predicted_label": F.when(F.col("is_uniform"), rules.scored_label(settings.title_words)).otherwise(F.col("cluster_name")),
+        "place": F.when(F.col("is_uniform"), rules.rule_order()).otherwise(postprocess.list_order()),
+        "features": F.when(F.col("is_uniform"), F.col("features")).otherwise(F.col("own_features")),
+    })
+    return labelled.filter("predicted_label != 'Noise'").drop(
+        "own_features", "heading_score", "cluster_name", "is_uniform", "first_page", "tops_page")
 
 
 def label_blocks(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -72,12 +98,12 @@ def label_blocks(blocks: DataFrame, settings: Settings = Settings()) -> DataFram
 
     Labelling works on rows without long texts; their labels join the stored blocks once, at the end.
     """
-    narrow = stage_table(first_labels(heading_texts(blocks, settings), settings), "labels")
+    narrow = stage_table(first_labels(heading_texts(blocks, settings), settings), "labels", PLACE)
     final = postprocess.post_process(narrow, settings.repeat_pages, settings.max_heading_words)
-    added = [c for c in ("cluster_label", "settled") if c in final.columns]
-    labels = final.select(DOC, "page_number", "seq", "place", "predicted_label", *added, F.col("features.space_before").alias("space_before"))
-    whole = with_traits(blocks).join(labels, [DOC, "page_number", "seq"])
-    return whole.withColumn("features", F.col("features").withField("space_before", F.col("space_before"))).drop("space_before")
+    labels = final.select(
+        *PLACE, "page_number", "seq", "place", "predicted_label", "cluster_label", "settled", F.col("features.space_before").alias("space_before"))
+    whole = with_traits(blocks if BUCKET in blocks.columns else dealt(blocks)).join(labels, [*PLACE, "page_number", "seq"])
+    return whole.withColumn("features", F.col("features").withField("space_before", F.col("space_before"))).drop("space_before", BUCKET, *GAP)
 
 
 def heading_texts(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -94,27 +120,24 @@ def heading_texts(blocks: DataFrame, settings: Settings = Settings()) -> DataFra
 def outlines(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One outline row per document.
 
-    Long texts are shuffled once, with the lines. Only blocks that may end as
-    a title or heading go through the joins of the corrections.
+    Long texts are shuffled once, with the lines, to the tasks of their document's buckets; all stages are stored by these
+    keys. Only blocks that may end as a title or heading go through the corrections, and a document's first title
+    is found where its headings meet anyway.
     """
-    narrow = stage_table(heading_texts(to_blocks(lines, settings), settings), "blocks")
-    needed = [DOC, "page_number", "seq", "text", "place", "predicted_label", "traits", "features.word_count"]
-    labelled = stage_table(first_labels(narrow, settings).select(*needed), "labels")
+    narrow = stage_table(heading_texts(placed_blocks(lines, settings), settings), "blocks", PLACE)
+    needed = [*PLACE, "page_number", "seq", "text", "place", "predicted_label", "traits", "features.word_count"]
+    labelled = stage_table(first_labels(narrow, settings).select(*needed), "labels", PLACE)
     repeats = postprocess.repeated_keys(labelled, settings.repeat_pages)
-    heads = postprocess.correct(
-        with_bucket(postprocess.candidates(labelled).withColumn("features", F.struct("word_count"))),
-        repeats,
-        postprocess.first_titles(labelled, repeats),
-        settings.max_heading_words,
-    ).select(DOC, "page_number", "seq", "text", "place", "predicted_label")
-    return outline.document_outline(stage_table(heads, "heads"), documents=labelled)
+    heads = postprocess.candidates(labelled).withColumn("features", F.struct("word_count"))
+    numbered = postprocess.override_by_number(postprocess.with_repeats(heads, repeats))
+    return outline.outline_of_candidates(numbered, labelled.select(DOC).distinct(), settings.max_heading_words)
 
 
 def run(documents: DataFrame, lines: DataFrame, settings: Settings = Settings()) -> dict[str, DataFrame]:
     """All stage tables, the outlines, the rejected documents and the report."""
     rejects = stage_table(report.unusable_lines(lines), "rejects")
     lines = report.usable_lines(lines, rejects)
-    blocks = stage_table(with_traits(to_blocks(lines, settings)), "blocks")
+    blocks = stage_table(placed_blocks(lines, settings), "blocks", PLACE)
     return _made(documents, lines, blocks, settings) | {"rejects": rejects}
 
 
@@ -122,7 +145,7 @@ def run_files(spark: SparkSession, folder: str, out: str, settings: Settings = S
     """From a folder of block files to outlines under ``out``, which replace what is there."""
     blocks, rejects = files.read_blocks(spark, folder)
     columns = [DOC, "page_number", "seq", "text", "fontname", "fontsize", "features"]
-    blocks = stage_table(with_traits(with_vectors(blocks.select(*columns))), "blocks")
+    blocks = stage_table(dealt(with_traits(with_vectors(blocks.select(*columns)))), "blocks", PLACE)
     documents = files.discover_documents(spark, folder, "json")
     made = _made(documents, blocks, blocks, settings) | {"rejects": stage_table(rejects, "rejects")}
     sinks.write_outlines(made["outlines"], out)
@@ -133,7 +156,7 @@ def _made(documents: DataFrame, lines: DataFrame, blocks: DataFrame, settings: S
     labelled = stage_table(label_blocks(blocks, settings), "labelled")
     made = stage_table(outline.document_outline(labelled), "outlines")
     return {
-        "blocks": blocks,
+        "blocks": blocks.drop(BUCKET, *GAP),
         "labelled": labelled,
         "outlines": made,
         "unsettled": labelled.filter("NOT settled").select(DOC).distinct(),

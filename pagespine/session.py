@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,16 +36,67 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the time of a job that starts inside."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def parts_of(spark: SparkSession) -> int:
+    """Tasks of a shuffle, and buckets of a table that is stored by key."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def stage_path(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/pagespine-{name}-{uuid.uuid4().hex}"
+
+
+def stage_table(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """Write a table that later steps read several times, a few columns at a time.
 
     The written files end the lineage, so losing an executor costs a re-read
-    and not the steps before.
+    and not the steps before. A table stored ``by`` keys is bucketed and sorted by them: joins and
+    aggregates on these keys, among tables stored by the same ones, need no shuffle. Rows of ``df`` should
+    already lie together by the keys (``spread.dealt``), or every task writes to every bucket.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/pagespine-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = stage_path(spark, name)
+    if by is None:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    # Tables stored by the first of a join's keys stay where they are.
+    with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        write_bucketed(df, path, by)
+    return read_bucketed(spark, path, df.schema, by)
+
+
+def write_bucketed(df: DataFrame, path: str, by: list[str]) -> None:
+    """Bucketed files are written through a table; its name goes as soon as the files are there."""
+    name = f"pagespine_{uuid.uuid4().hex}"
+    try:
+        df.write.bucketBy(parts_of(df.sparkSession), *by).sortBy(*by).option("path", path).saveAsTable(name, format="parquet")
+    finally:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def read_bucketed(spark: SparkSession, path: str, schema, by: list[str]) -> DataFrame:
+    """A table written by ``write_bucketed`` in a session with the same number of shuffle tasks.
+
+    The table's name is needed only until Spark has resolved it.
+    """
+    name, keys, n = f"pagespine_{uuid.uuid4().hex}", ", ".join(f"`{k}`" for k in by), parts_of(spark)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path '{path}') CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {n} BUCKETS"
+    )
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

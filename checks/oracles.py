@@ -280,6 +280,9 @@ SELECTS = {
     "document_title": "SELECT * FROM titles",
     "headings": "SELECT document_name, seq, label_4 AS level, text, page_number AS page FROM final WHERE label_4 IN ('H1', 'H2', 'H3')",
     "document_outline": f"SELECT document_name, title, len(outline) AS n_headings, CAST({JSON_OUTLINE} AS VARCHAR) AS outline FROM outlines",
+    "streamed_outlines": f"SELECT document_name, title, len(outline) AS n_headings, CAST({JSON_OUTLINE} AS VARCHAR) AS outline FROM outlines",
+    "updated_outlines": f"SELECT document_name, title, len(outline) AS n_headings, CAST({JSON_OUTLINE} AS VARCHAR) AS outline FROM outlines",
+    "resumed_outlines": f"SELECT document_name, title, len(outline) AS n_headings, CAST({JSON_OUTLINE} AS VARCHAR) AS outline FROM outlines",
     "empty_outlines": "SELECT document_name, len(outline) AS n_headings FROM outlines WHERE len(outline) = 0",
     "outlines_end_to_end": f"SELECT document_name, title, CAST({JSON_OUTLINE} AS VARCHAR) AS outline FROM outlines",
 }

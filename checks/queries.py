@@ -9,8 +9,10 @@ from pagespine.functions import text as T
 from pagespine.operators import clusters, features, layout, outline, postprocess, rules, style
 from pagespine.operators.spread import attach, with_bucket
 from pagespine.plans import outlines as plan
+from pagespine.plans import runs
 from pagespine.session import checkpoint_dir
-from pagespine.sources import files, report, sinks
+from pagespine.sources import changes, files, report, sinks
+from pagespine.streaming import arrivals
 
 DOC = "document_name"
 LINE = [DOC, "page_number", "line_no"]
@@ -364,6 +366,50 @@ def outlines_end_to_end(spark, sf):
     return plan.outlines(tables.lines(spark, sf)).select(DOC, "title", _json_outline())
 
 
+# Runs that keep what they made
+
+def _block_arrays(spark, sf):
+    """A JSON block array per document, under the name of its file."""
+    block = F.struct("text", "fontname", "fontsize", "page_number", "features")
+    ordered = F.sort_array(F.collect_list(F.struct("seq", block.alias("block"))))
+    packed = tables.blocks(spark, sf).groupBy(DOC).agg(F.to_json(F.transform(ordered, lambda r: r["block"])).alias("value"))
+    return packed.select(F.concat(DOC, F.lit(".json")).alias("name"), "value")
+
+
+def _shown(outlines):
+    return outlines.select(DOC, "title", F.size("outline").alias("n_headings"), _json_outline())
+
+
+def streamed_outlines(spark, sf):
+    """Block files that arrive in a folder, in two batches, read back from the sink."""
+    folder = f"{checkpoint_dir(spark)}/arriving-{uuid.uuid4().hex}"
+    sinks.write_named_files(_block_arrays(spark, sf), folder)
+    half = -(-files.listed(spark, folder, "json").count() // 2)
+    arrivals.watch(spark, folder, f"{folder}-out", f"{folder}-checkpoint", files_per_batch=half).awaitTermination()
+    return _shown(arrivals.outlines(spark, f"{folder}-out"))
+
+
+def updated_outlines(spark, sf):
+    """A first run without every ninth document and with the others of every seventh place cut to an empty array; then all of them."""
+    number = F.crc32(F.col("name").cast("binary"))
+    folder = f"{checkpoint_dir(spark)}/changing-{uuid.uuid4().hex}"
+    rows = _block_arrays(spark, sf)
+    first = rows.filter(number % 9 != 0).withColumn("value", F.when(number % 7 == 0, "[]").otherwise(F.col("value")))
+    for state in (first, rows):
+        sinks.write_named_files(state, folder)
+        plan.update_outlines(spark, folder, f"{folder}-out", n_parts=16)
+    return _shown(changes.outlines_in(spark, f"{folder}-out"))
+
+
+def resumed_outlines(spark, sf):
+    """A run that breaks off after its labels and is taken up again."""
+    folder = f"{checkpoint_dir(spark)}/kept-{uuid.uuid4().hex}"
+    lines = tables.lines(spark, sf)
+    with runs.open_run(spark, folder, f"{runs.file_fingerprint(lines)} {plan.Settings()}"):
+        plan.outlines(lines)  # all stages are stored, the outlines are not
+    return _shown(plan.kept_outlines(spark, lines, folder))
+
+
 PREDICATES = {
     "is_page_number": T.is_page_number,
     "is_mostly_punct": T.is_mostly_punctuation,
@@ -388,6 +434,7 @@ QUERIES = {
         large_document_kmeans, cluster_font, cluster_rank, cluster_labels, text_pages, repeating_text,
         reject_non_headings, numbering_override, single_title, demote_headings, post_process, outline_order,
         document_title, headings, document_outline, empty_outlines, outlines_end_to_end,
+        streamed_outlines, updated_outlines, resumed_outlines,
     )
 }
 QUERIES.update({name: _predicate(make, name) for name, make in PREDICATES.items()})

@@ -11,9 +11,11 @@ from pagespine.operators.features import with_features, with_vectors
 from pagespine.operators.spread import BUCKET, PLACE, attach, dealt
 from pagespine.operators.traits import with_traits
 from pagespine.session import stage_table
-from pagespine.sources import files, report, sinks
+from pagespine.plans import runs
+from pagespine.sources import changes, files, report, sinks
 
 DOC = "document_name"
+FILE_BLOCK = [DOC, "page_number", "seq", "text", "fontname", "fontsize", "features"]
 
 #: What blocks of ordinary pages carry from the beginning, for the rules.
 GAP = ("gap", "tops_page")
@@ -124,7 +126,11 @@ def outlines(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
     keys. Only blocks that may end as a title or heading go through the corrections, and a document's first title
     is found where its headings meet anyway.
     """
-    narrow = stage_table(heading_texts(placed_blocks(lines, settings), settings), "blocks", PLACE)
+    return outlines_of(stage_table(heading_texts(placed_blocks(lines, settings), settings), "blocks", PLACE), settings)
+
+
+def outlines_of(narrow: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One outline row per document of a stored table of blocks without long texts."""
     needed = [*PLACE, "page_number", "seq", "text", "place", "predicted_label", "traits", "features.word_count"]
     labelled = stage_table(first_labels(narrow, settings).select(*needed), "labels", PLACE)
     repeats = postprocess.repeated_keys(labelled, settings.repeat_pages)
@@ -141,18 +147,52 @@ def run(documents: DataFrame, lines: DataFrame, settings: Settings = Settings())
     return _made(documents, lines, blocks, settings) | {"rejects": rejects}
 
 
+def kept_outlines(spark: SparkSession, lines: DataFrame, folder: str, settings: Settings = Settings()) -> DataFrame:
+    """Outlines in ``folder``/outlines. If a run breaks off, the next one with the same input goes on at the first stage missing.
+
+    ``lines`` must be a table of files. The stage tables go when the outlines are written.
+    """
+    path = f"{folder.rstrip('/')}/outlines"
+    with runs.open_run(spark, folder, f"{runs.file_fingerprint(lines)} {settings}") as ledger:
+        sinks.write_stage(outlines(lines, settings), path)
+        ledger.close()
+    return spark.read.parquet(path)
+
+
+def file_outlines(spark: SparkSession, parsed: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Outlines of parsed block files."""
+    blocks = files.explode_blocks(parsed).select(*FILE_BLOCK)
+    return outlines_of(stage_table(dealt(heading_texts(with_vectors(blocks), settings)), "blocks", PLACE), settings)
+
+
+def update_outlines(spark: SparkSession, folder: str, out: str, settings: Settings = Settings(), n_parts: int = 64) -> dict[str, int]:
+    """Bring the results under ``out`` up to date with a folder of block files; only what changed is worked on.
+
+    Every file has one row: document, fingerprint of its bytes, why it was left out (if it was) and its outline.
+    Rows lie in ``n_parts`` folders by document. Files that are new, have other bytes or are gone decide which folders are
+    written anew; in those, the rows of other documents are carried over. Gives the numbers of files and folders.
+    """
+    listed = stage_table(changes.fingerprints(files.block_files(spark, folder)), "fingerprints")
+    before = changes.stored_results(spark, out)
+    differ = stage_table(changes.compare(listed, before), "changes")
+    fresh = files.parse_files(files.block_files(spark, folder, differ.filter("change != 'gone'").select("path")), twins_of=listed)
+    fresh = stage_table(fresh, "parsed")
+    made = file_outlines(spark, fresh, settings)
+    rows = differ.filter("change != 'gone'").select(DOC, "path", "fingerprint").join(fresh.select("path", "reason"), "path", "left").join(made, DOC, "left")
+    return changes.replace_parts(spark, out, rows, before, differ, n_parts)
+
+
 def run_files(spark: SparkSession, folder: str, out: str, settings: Settings = Settings()) -> dict[str, DataFrame]:
     """From a folder of block files to outlines under ``out``, which replace what is there."""
     blocks, rejects = files.read_blocks(spark, folder)
-    columns = [DOC, "page_number", "seq", "text", "fontname", "fontsize", "features"]
-    blocks = stage_table(dealt(with_traits(with_vectors(blocks.select(*columns)))), "blocks", PLACE)
+    blocks = stage_table(dealt(with_traits(with_vectors(blocks.select(*FILE_BLOCK)))), "blocks", PLACE)
     documents = files.discover_documents(spark, folder, "json")
-    made = _made(documents, blocks, blocks, settings) | {"rejects": stage_table(rejects, "rejects")}
+    made = _made(documents, None, blocks, settings) | {"rejects": stage_table(rejects, "rejects")}
     sinks.write_outlines(made["outlines"], out)
     return made
 
 
-def _made(documents: DataFrame, lines: DataFrame, blocks: DataFrame, settings: Settings) -> dict[str, DataFrame]:
+def _made(documents: DataFrame, lines: DataFrame | None, blocks: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     labelled = stage_table(label_blocks(blocks, settings), "labelled")
     made = stage_table(outline.document_outline(labelled), "outlines")
     return {

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +53,21 @@ def parts_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/pagespine-{name}-{uuid.uuid4().hex}"
 
@@ -64,15 +80,39 @@ def stage_table(df: DataFrame, name: str, by: list[str] | None = None) -> DataFr
     aggregates on these keys, among tables stored by the same ones, need no shuffle. Rows of ``df`` should
     already lie together by the keys (``spread.dealt``), or every task writes to every bucket.
     """
-    spark = df.sparkSession
+    spark, ledger = df.sparkSession, _ledger.get()
+    if ledger is not None:
+        return ledger.stage(df, name, by)
     path = stage_path(spark, name)
+    write_table(df, path, by)
+    return read_table(spark, path, df.schema, by, parts_of(spark))
+
+
+#: The run whose ledger keeps the stage tables, if one is open (see ``runs``).
+_ledger: ContextVar = ContextVar("ledger", default=None)
+
+
+@contextmanager
+def kept_by(ledger):
+    """Stage tables made inside are kept, and found again, by this ledger."""
+    token = _ledger.set(ledger)
+    try:
+        yield ledger
+    finally:
+        _ledger.reset(token)
+
+
+def write_table(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     if by is None:
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        df.write.mode("overwrite").parquet(path)
+        return
     # Tables stored by the first of a join's keys stay where they are.
-    with setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+    with setting(df.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
         write_bucketed(df, path, by)
-    return read_bucketed(spark, path, df.schema, by)
+
+
+def read_table(spark: SparkSession, path: str, schema, by: list[str] | None, n_buckets: int) -> DataFrame:
+    return spark.read.schema(schema).parquet(path) if by is None else read_bucketed(spark, path, schema, by, n_buckets)
 
 
 def write_bucketed(df: DataFrame, path: str, by: list[str]) -> None:
@@ -84,15 +124,12 @@ def write_bucketed(df: DataFrame, path: str, by: list[str]) -> None:
         df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def read_bucketed(spark: SparkSession, path: str, schema, by: list[str]) -> DataFrame:
-    """A table written by ``write_bucketed`` in a session with the same number of shuffle tasks.
-
-    The table's name is needed only until Spark has resolved it.
-    """
-    name, keys, n = f"pagespine_{uuid.uuid4().hex}", ", ".join(f"`{k}`" for k in by), parts_of(spark)
+def read_bucketed(spark: SparkSession, path: str, schema, by: list[str], n_buckets: int) -> DataFrame:
+    """A table written by ``write_bucketed``; its name is needed only until Spark has resolved it."""
+    name, keys = f"pagespine_{uuid.uuid4().hex}", ", ".join(f"`{k}`" for k in by)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path '{path}') CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {n} BUCKETS"
+        f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (path '{path}') CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {n_buckets} BUCKETS"
     )
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")

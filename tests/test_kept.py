@@ -1,0 +1,231 @@
+"""Runs that keep what they made: arriving files, changed files, broken runs, files under their own names."""
+
+import json
+import os
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from pagespine.operators import clusters, outline
+from pagespine.plans import outlines as plan
+from pagespine.plans import runs
+from pagespine.sources import changes, files, sinks
+from pagespine.streaming import arrivals
+
+WORDS = ["Overview", "1.2 Scope", "lower case", "Plain words here", "Page 3", "Long " * 18, "NOTES HERE", "Running head"]
+
+
+def block_array(seed, n=14, sizes=(8.0, 10.0, 14.0, 18.0)):
+    draw = random.Random(seed)
+    return [
+        {
+            "text": draw.choice(WORDS), "fontname": "F", "fontsize": draw.choice(sizes), "page_number": i // 5,
+            "features": {"font_size": 10.0, "indentation": 7.0 * i, "is_bold": i % 2, "y_coordinate": 700.0 - 9 * i, "centering_offset": 3.0, "word_count": 2},
+        }
+        for i in range(n)
+    ]
+
+
+def put(folder, name, blocks):
+    (folder / name).write_text(json.dumps(blocks) if not isinstance(blocks, str) else blocks)
+
+
+def shown(df):
+    return sorted((r.document_name, r.title, tuple(map(tuple, r.outline))) for r in df.select("document_name", "title", "outline").collect())
+
+
+def in_one_batch(spark, folder):
+    found = files.block_files(spark, str(folder))
+    return shown(plan.file_outlines(spark, files.parse_files(found, twins_of=found)))
+
+
+def test_arriving_files(spark, tmp_path):
+    """Three steps with a restart between them give what one batch gives, none twice."""
+    folder, out, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    folder.mkdir()
+    for step in range(3):
+        for i in range(3):
+            put(folder, f"doc {step}{i}.json", block_array(10 * step + i, sizes=(10.0,) if i == 0 else (8.0, 14.0, 18.0)))
+        if step == 1:
+            put(folder, "broken.json", '[{"text": ')
+            put(folder, "twin.json", block_array(1))
+            put(folder, "twin.JSON", block_array(2))
+            put(folder, "zero.json", "")
+        arrivals.watch(spark, str(folder), out, checkpoint).awaitTermination()
+    made = shown(arrivals.outlines(spark, out))
+    assert made == in_one_batch(spark, folder) and [name for name, *_ in made] == [f"doc {s}{i}" for s in range(3) for i in range(3)]
+    reasons = {r.path.split("/")[-1]: r.reason for r in arrivals.results(spark, out).filter("reason IS NOT NULL").collect()}
+    assert reasons == {
+        "broken.json": "not a JSON block array", "twin.json": "one of several files of one name: twin.json", "twin.JSON": "one of several files of one name: twin.JSON",
+    }
+    assert [r.path.split("/")[-1] for r in arrivals.waiting(spark, str(folder), out).collect()] == ["zero.json"]
+    # A batch that is repeated replaces what it wrote.
+    again = files.block_files(spark, str(folder)).filter("path LIKE '%doc 2%'")
+    arrivals.write_batch(again, 2, out)
+    assert shown(arrivals.outlines(spark, out)) == made
+
+
+def test_files_of_one_name_are_left_out(spark, tmp_path):
+    put(tmp_path, "a.json", block_array(1))
+    put(tmp_path, "a.JSON", block_array(2))
+    put(tmp_path, "b.JSON", "")
+    put(tmp_path, "b.json", block_array(3))
+    put(tmp_path, "c.json", block_array(4))
+    blocks, left_out = files.read_blocks(spark, str(tmp_path))
+    assert {r.document_name for r in blocks.select("document_name").distinct().collect()} == {"c"}
+    assert sorted(r.reason for r in left_out.collect()) == [f"one of several files of one name: {n}" for n in ("a.JSON", "a.json", "b.JSON", "b.json")]
+
+
+def part_files(out):
+    return {p.name: sorted(f.name for f in p.glob("part-*")) for p in out.glob("part=*")}
+
+
+def test_only_changed_files_are_worked_on(spark, tmp_path):
+    folder, out = tmp_path / "in", tmp_path / "out"
+    folder.mkdir()
+    for i in range(12):
+        put(folder, f"d{i}.json", block_array(i))
+    put(folder, "broken.json", "[1]")
+
+    def update():
+        return plan.update_outlines(spark, str(folder), str(out), n_parts=8)
+
+    assert update()["new"] == 13
+    assert shown(changes.outlines_in(spark, str(out))) == in_one_batch(spark, folder)
+    before = part_files(out)
+    assert update() == {"new": 0, "changed": 0, "gone": 0, "parts": 0} and part_files(out) == before
+    put(folder, "d3.json", block_array(99))
+    put(folder, "d12.json", block_array(12))
+    os.remove(folder / "d5.json")
+    told = update()
+    assert (told["new"], told["changed"], told["gone"]) == (1, 1, 1)
+    touched = {f"part={r[0]}" for r in spark.createDataFrame([("d3",), ("d12",), ("d5",)], "n string").select(changes.part_of(F.col("n"), 8)).collect()}
+    after = part_files(out)
+    assert told["parts"] == len(touched) and {p for p in after if after[p] != before.get(p)} == touched
+    assert shown(changes.outlines_in(spark, str(out))) == in_one_batch(spark, folder)
+    with pytest.raises(ValueError, match="other parts"):
+        put(folder, "d3.json", block_array(98))
+        plan.update_outlines(spark, str(folder), str(out), n_parts=4)
+
+
+def test_a_part_without_files_is_emptied(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    put(folder, "only.json", block_array(1))
+    plan.update_outlines(spark, str(folder), out, n_parts=4)
+    os.remove(folder / "only.json")
+    put(folder, "other.json", "[]")
+    assert plan.update_outlines(spark, str(folder), out, n_parts=4)["gone"] == 1
+    assert shown(changes.outlines_in(spark, out)) == []
+    assert [r.document_name for r in changes.stored_results(spark, out).collect()] == ["other"]
+
+
+@pytest.fixture
+def stored_lines(spark, make_lines, tmp_path):
+    draw = random.Random(4)
+    rows = [(d, p, n, draw.choice(WORDS), "F", draw.choice((9.0, 12.0, 20.0)) if d != "plain" else 9.0)
+            for d in ("plain", "varied", "other") for p in range(3) for n in range(6)]
+    make_lines(rows).write.parquet(str(tmp_path / "lines"))
+    return spark.read.parquet(str(tmp_path / "lines"))
+
+
+def test_a_broken_run_is_taken_up(spark, stored_lines, tmp_path, monkeypatch):
+    folder, expected = str(tmp_path / "run"), shown(plan.outlines(stored_lines))
+    whole = outline.outline_of_candidates
+
+    def broken(*_):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(plan.outline, "outline_of_candidates", broken)
+    with pytest.raises(RuntimeError, match="killed"):
+        plan.kept_outlines(spark, stored_lines, folder)
+    monkeypatch.setattr(plan.outline, "outline_of_candidates", whole)
+    with runs.open_run(spark, folder, f"{runs.file_fingerprint(stored_lines)} {plan.Settings()}") as ledger:
+        lines = {r.stage: r for r in ledger.manifest().collect()}
+        assert set(lines) == {"blocks", "routed", "clusters", "labels"}
+        assert all(spark.read.parquet(r.path).count() == r.n_rows > 0 for r in lines.values())
+        assert shown(plan.outlines(stored_lines)) == expected
+        assert ledger.reused == ["blocks", "routed", "clusters", "labels"] and not ledger.written
+    # Other settings are another input: nothing is taken up.
+    with runs.open_run(spark, folder, "other") as ledger:
+        plan.outlines(stored_lines)
+        assert not ledger.reused
+    assert shown(plan.kept_outlines(spark, stored_lines, folder)) == expected
+    assert sorted(p.name for p in (tmp_path / "run").iterdir()) == ["outlines"]
+
+
+def test_a_stage_without_a_line_is_made_anew(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "run")
+    numbers = spark.range(100).selectExpr("id", "concat('d', id % 3) AS document_name", "id % 2 AS bucket")
+    ledger = runs.Ledger(spark, folder, "x")
+    with monkeypatch.context() as patched:
+        patched.setattr(runs.Ledger, "_enter", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            ledger.stage(numbers, "numbers", None)
+    ledger = runs.Ledger(spark, folder, "x")
+    assert ledger.stage(numbers, "numbers", None).count() == 100 and ledger.written == ["numbers"]
+    again = runs.Ledger(spark, folder, "x")
+    assert again.stage(numbers.limit(1), "numbers", None).count() == 100
+    assert again.stage(numbers, "numbers", ["document_name", "bucket"]).count() == 100 and again.written == ["numbers-2"]
+
+
+def test_file_fingerprint(spark, tmp_path):
+    for _ in range(2):
+        spark.range(5).write.mode("append").parquet(str(tmp_path / "t"))
+    first = runs.file_fingerprint(spark.read.parquet(str(tmp_path / "t")))
+    assert first == runs.file_fingerprint(spark.read.parquet(str(tmp_path / "t")))
+    spark.range(5).write.mode("append").parquet(str(tmp_path / "t"))
+    assert first != runs.file_fingerprint(spark.read.parquet(str(tmp_path / "t")))
+
+
+def test_files_under_their_names(spark, tmp_path):
+    out = tmp_path / "a folder"
+    rows = spark.createDataFrame([("x_output.json", "ä"), ("y z_output.json", None), ("w", "1")], "name string, value string").repartition(3)
+    for _ in range(2):  # an attempt may be repeated
+        assert sorted(map(tuple, sinks.write_named_files(rows, str(out)).collect())) == [("w", 1), ("x_output.json", 2), ("y z_output.json", 0)]
+    assert sorted(p.name for p in out.iterdir()) == ["w", "x_output.json", "y z_output.json"]
+    assert (out / "x_output.json").read_text(encoding="utf-8") == "ä"
+    with pytest.raises(ValueError, match="named w"):
+        sinks.write_named_files(rows.unionByName(rows), str(out))
+    made = spark.createDataFrame([("d", "T", [("H1", "h", 0)])], "document_name string, title string, outline array<struct<level: string, text: string, page: int>>")
+    sinks.write_outline_files(made, f"file:{out}")
+    assert json.loads((out / "d_output.json").read_text()) == {"title": "T", "outline": [{"level": "H1", "text": "h", "page": 0}]}
+
+
+def test_stages_meet_without_shuffles(spark, stored_lines, monkeypatch):
+    """Exchanges and scans of all stages, as planned without broadcasts."""
+    counts = []
+
+    def counted(df, keys):
+        for key, value in {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                           "spark.sql.requireAllClusterKeysForCoPartition": "false" if keys else "true"}.items():
+            monkeypatch_conf(key, value)
+        shown_plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+        for key in list(kept):
+            spark.conf.set(key, kept.pop(key))
+        counts.append((len(re.findall("Exchange hashpartitioning", shown_plan)), shown_plan.count("FileScan")))
+
+    kept = {}
+
+    def monkeypatch_conf(key, value):
+        kept[key] = spark.conf.get(key)
+        spark.conf.set(key, value)
+
+    for module in (plan, clusters):
+        def spied(df, name, by=None, real=module.stage_table):
+            counted(df, by)
+            return real(df, name, by)
+
+        monkeypatch.setattr(module, "stage_table", spied)
+    counted(plan.outlines(stored_lines, plan.Settings(long_pages=False)), None)
+    assert sum(n for n, _ in counts) <= 14 and sum(n for _, n in counts) <= 10, counts
+
+
+def test_report_of_files_has_no_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    put(tmp_path / "in", "a.json", block_array(1))
+    put(tmp_path / "in", "b.json", "[]")
+    made = plan.run_files(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert {r.document_name: (r.n_lines, r.status) for r in made["report"].collect()} == {"a": (None, "done"), "b": (None, "no blocks")}

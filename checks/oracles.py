@@ -266,6 +266,23 @@ SELECTS = {
     "cluster_k": "SELECT document_name, CAST(least(count(*), 5) AS INT) AS k FROM varied GROUP BY document_name",
     "scaled_features": f"SELECT document_name, seq, {', '.join(AXES)} FROM scaled",
     "document_kmeans": "SELECT document_name, seq, k AS cluster_label FROM assigned",
+    "clustering_state": f"""
+        SELECT document_name, count(*) AS n_blocks, count(DISTINCT own_k) AS n_clusters, CAST(count(*) FILTER (nearest < own) AS BIGINT) AS n_moved,
+               round(sum(own) / 100000 / 100000, 4) AS inertia
+        FROM (SELECT p.document_name, p.seq, a.k AS own_k, min({SQUARES}) AS nearest, min({SQUARES}) FILTER (c.k = a.k) AS own
+              FROM scaled p JOIN assigned a USING (document_name, seq)
+              JOIN (SELECT document_name, k, {", ".join(f"avg({x}) AS {x}" for x in AXES)}
+                    FROM scaled JOIN assigned USING (document_name, seq) GROUP BY document_name, k) c ON c.document_name = p.document_name
+              GROUP BY p.document_name, p.seq, a.k)
+        GROUP BY document_name""",
+    "accounted_rows": """
+        SELECT 'lines' AS stage, 'rows' AS counted, (SELECT count(*) FROM lines) AS n
+        UNION ALL SELECT 'lines', 'nonblank', (SELECT count(*) FROM nonblank) UNION ALL SELECT 'blocks', 'lines', (SELECT count(*) FROM nonblank)
+        UNION ALL SELECT s, 'rows', (SELECT count(*) FROM blocks) FROM (SELECT unnest(['blocks', 'routed', 'scored']) AS s)
+        UNION ALL SELECT 'routed', 'uniform', (SELECT count(*) FROM ruled) UNION ALL SELECT 'clusters', 'rows', (SELECT count(*) FROM varied)
+        UNION ALL SELECT 'scored', 'noise', (SELECT count(*) FROM rule_named WHERE noise) UNION ALL SELECT 'labels', 'rows', (SELECT count(*) FROM final)
+        UNION ALL SELECT 'labels', 'documents', (SELECT count(DISTINCT document_name) FROM final) UNION ALL SELECT 'outlines', 'rows', (SELECT count(*) FROM outlines)
+        UNION ALL SELECT 'outlines', 'headings', (SELECT CAST(sum(len(outline)) AS BIGINT) FROM outlines)""",
     "cluster_font": "SELECT * FROM fonts",
     "cluster_rank": "SELECT * FROM ranks",
     "cluster_labels": "SELECT document_name, seq, cluster_label, label AS predicted_label FROM cluster_named",

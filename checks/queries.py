@@ -289,6 +289,10 @@ def large_document_kmeans(spark, sf):
     return clusters.cluster_blocks(tables.varied(spark, sf), task_blocks=0).select(DOC, "seq", "cluster_label")
 
 
+def clustering_state(spark, sf):
+    return clusters.clustering_state(_grouped(spark, sf))
+
+
 def cluster_font(spark, sf):
     return clusters.cluster_fonts(_grouped(spark, sf))
 
@@ -410,6 +414,13 @@ def resumed_outlines(spark, sf):
     return _shown(plan.kept_outlines(spark, lines, folder))
 
 
+def accounted_rows(spark, sf):
+    """What every stage of the whole run counted."""
+    _, totals = plan.accounted_outlines(tables.lines(spark, sf))
+    rows = [(stage, name, n) for stage, counts in totals.items() for name, n in counts.items()]
+    return spark.createDataFrame(rows, "stage string, counted string, n bigint")
+
+
 PREDICATES = {
     "is_page_number": T.is_page_number,
     "is_mostly_punct": T.is_mostly_punctuation,
@@ -434,7 +445,7 @@ QUERIES = {
         large_document_kmeans, cluster_font, cluster_rank, cluster_labels, text_pages, repeating_text,
         reject_non_headings, numbering_override, single_title, demote_headings, post_process, outline_order,
         document_title, headings, document_outline, empty_outlines, outlines_end_to_end,
-        streamed_outlines, updated_outlines, resumed_outlines,
+        streamed_outlines, updated_outlines, resumed_outlines, accounted_rows, clustering_state,
     )
 }
 QUERIES.update({name: _predicate(make, name) for name, make in PREDICATES.items()})

@@ -266,6 +266,28 @@ def cluster_blocks(blocks: DataFrame, n_clusters: int = N_CLUSTERS, task_blocks:
     return cluster_scaled(scaled_features(blocks), n_clusters, task_blocks).drop("n_blocks", BUCKET)
 
 
+def clustering_state(blocks: DataFrame) -> DataFrame:
+    """How a given clustering of each document stands: blocks, clusters, inertia, and the blocks that another round would move.
+
+    Centers are the means of the given clusters on scaled features. A block moves if another center is strictly nearer than its own; a
+    settled clustering moves none. Give it a stored table with ``cluster_label``.
+    """
+    points = scaled_features(blocks).select(DOC, BUCKET, "cluster_label", *AXES)
+    means = points.groupBy(DOC, "cluster_label").agg(*[F.avg(a).alias(a) for a in AXES])
+    centers = means.groupBy(DOC).agg(F.collect_list(F.struct("cluster_label", *AXES)).alias("centers"))
+
+    def apart(center):
+        return reduce(Column.__add__, [(F.col(a) - center[a]) * (F.col(a) - center[a]) for a in AXES])
+
+    met = attach(points, centers, [DOC])
+    own = F.get(F.transform(F.filter("centers", lambda c: c["cluster_label"] == F.col("cluster_label")), apart), F.lit(0))
+    measured = met.select(DOC, "cluster_label", own.alias("own"), F.array_min(F.transform("centers", apart)).alias("nearest"))
+    return measured.groupBy(DOC).agg(
+        F.count("*").alias("n_blocks"), F.count_distinct("cluster_label").alias("n_clusters"),
+        F.sum((F.col("nearest") < F.col("own")).cast("bigint")).alias("n_moved"), F.round(F.sum("own") / STEPS / STEPS, 4).alias("inertia"),
+    )
+
+
 def cluster_fonts(blocks: DataFrame) -> DataFrame:
     """Mean font size of each cluster present."""
     return blocks.groupBy(DOC, "cluster_label").agg(F.round(F.avg("fontsize"), 6).alias("mean_size"))

@@ -118,11 +118,12 @@ def fold_blocks(numbered: DataFrame) -> DataFrame:
             F.struct(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")).alias("bbox"),
             F.max("page_width").alias("page_width"),
             F.max("page_height").alias("page_height"),
+            F.count("*").alias("n_lines"),
         )
         .select(
             "document_name", "page_number", "block_no",
             reading_key(F.col("page_number"), F.col("block_no")).alias("seq"),
-            "text", "fontname", "fontsize", "bbox", "page_width", "page_height", *([BUCKET] if BUCKET in numbered.columns else []),
+            "text", "fontname", "fontsize", "bbox", "page_width", "page_height", "n_lines", *([BUCKET] if BUCKET in numbered.columns else []),
         )
     )
 

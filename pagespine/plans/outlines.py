@@ -12,7 +12,7 @@ from pagespine.operators.spread import BUCKET, PLACE, attach, dealt
 from pagespine.operators.traits import with_traits
 from pagespine.session import stage_table
 from pagespine.plans import runs
-from pagespine.sources import changes, files, report, sinks
+from pagespine.sources import accounts, changes, files, report, sinks
 
 DOC = "document_name"
 FILE_BLOCK = [DOC, "page_number", "seq", "text", "fontname", "fontsize", "features"]
@@ -71,7 +71,7 @@ def first_labels(blocks: DataFrame, settings: Settings = Settings()) -> DataFram
     meet without a shuffle; rows are labelled in one pass over both kinds of documents.
     """
     placed = blocks if BUCKET in blocks.columns else dealt(blocks)
-    rows = stage_table(routed(placed, settings), "routed", PLACE)
+    rows = stage_table(accounts.watched(routed(placed, settings), "routed", uniform=F.col("is_uniform")), "routed", PLACE)
     varied = rows.filter("NOT is_uniform")
     found = clusters.cluster_members(
         clusters.scale(varied.select(DOC, BUCKET, "seq", "fontsize", "n_blocks", "feature_vector", *clusters.MOMENTS)),
@@ -79,7 +79,7 @@ def first_labels(blocks: DataFrame, settings: Settings = Settings()) -> DataFram
         settings.task_blocks,
         any_large=not varied.filter(F.col("n_blocks") > settings.task_blocks).isEmpty(),
     )
-    members = stage_table(dealt(found), "clusters", PLACE)
+    members = stage_table(accounts.watched(dealt(found), "clusters"), "clusters", PLACE)
     rows = rows.drop("n_blocks", *clusters.MOMENTS)
     own_features = F.col("features")
     if "space_before" not in rows.schema["features"].dataType.fieldNames():
@@ -91,6 +91,7 @@ def first_labels(blocks: DataFrame, settings: Settings = Settings()) -> DataFram
         "place": F.when(F.col("is_uniform"), rules.rule_order()).otherwise(postprocess.list_order()),
         "features": F.when(F.col("is_uniform"), F.col("features")).otherwise(F.col("own_features")),
     })
+    labelled = accounts.watched(labelled, "scored", noise=F.col("predicted_label") == "Noise")
     return labelled.filter("predicted_label != 'Noise'").drop(
         "own_features", "heading_score", "cluster_name", "is_uniform", "first_page", "tops_page")
 
@@ -126,13 +127,15 @@ def outlines(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
     keys. Only blocks that may end as a title or heading go through the corrections, and a document's first title
     is found where its headings meet anyway.
     """
-    return outlines_of(stage_table(heading_texts(placed_blocks(lines, settings), settings), "blocks", PLACE), settings)
+    blocks = accounts.watched(heading_texts(placed_blocks(lines, settings), settings), "blocks", lines=F.col("n_lines"))
+    return outlines_of(stage_table(blocks, "blocks", PLACE), settings)
 
 
 def outlines_of(narrow: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One outline row per document of a stored table of blocks without long texts."""
     needed = [*PLACE, "page_number", "seq", "text", "place", "predicted_label", "traits", "features.word_count"]
-    labelled = stage_table(first_labels(narrow, settings).select(*needed), "labels", PLACE)
+    labelled = stage_table(accounts.watched(first_labels(narrow, settings).select(*needed), "labels"), "labels", PLACE)
+    accounts.remember("labels", labelled)
     repeats = postprocess.repeated_keys(labelled, settings.repeat_pages)
     heads = postprocess.candidates(labelled).withColumn("features", F.struct("word_count"))
     numbered = postprocess.override_by_number(postprocess.with_repeats(heads, repeats))
@@ -147,6 +150,19 @@ def run(documents: DataFrame, lines: DataFrame, settings: Settings = Settings())
     return _made(documents, lines, blocks, settings) | {"rejects": rejects}
 
 
+def accounted_outlines(lines: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, dict[str, dict[str, int]]]:
+    """Stored outlines and the counts of all stages. Fails if rows went missing on the way.
+
+    Beside the stages' own counts it takes one more pass over the texts of the lines and one over the names of the labelled documents.
+    """
+    with accounts.account() as book:
+        book.enter("lines", rows=lines.count(), nonblank=layout.nonblank_lines(layout.horizontal_lines(lines)).count())
+        made = outlines(lines, settings)
+        made = stage_table(accounts.watched(made, "outlines", headings=F.size("outline")), "outlines")
+        book.enter("labels", documents=book.stored["labels"].select(DOC).distinct().count())
+        return made, book.settle()
+
+
 def kept_outlines(spark: SparkSession, lines: DataFrame, folder: str, settings: Settings = Settings()) -> DataFrame:
     """Outlines in ``folder``/outlines. If a run breaks off, the next one with the same input goes on at the first stage missing.
 

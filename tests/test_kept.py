@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pagespine.operators import clusters, outline
 from pagespine.plans import outlines as plan
 from pagespine.plans import runs
-from pagespine.sources import changes, files, sinks
+from pagespine.sources import accounts, changes, files, sinks
 from pagespine.streaming import arrivals
 
 WORDS = ["Overview", "1.2 Scope", "lower case", "Plain words here", "Page 3", "Long " * 18, "NOTES HERE", "Running head"]
@@ -229,3 +229,13 @@ def test_report_of_files_has_no_lines(spark, tmp_path):
     put(tmp_path / "in", "b.json", "[]")
     made = plan.run_files(spark, str(tmp_path / "in"), str(tmp_path / "out"))
     assert {r.document_name: (r.n_lines, r.status) for r in made["report"].collect()} == {"a": (None, "done"), "b": (None, "no blocks")}
+
+
+def test_lost_rows_are_noticed(stored_lines, monkeypatch):
+    made, totals = plan.accounted_outlines(stored_lines)
+    assert totals["lines"] == {"rows": 54, "nonblank": 54} and totals["blocks"]["lines"] == 54 and totals["outlines"]["rows"] == 3
+    assert shown(made) == shown(plan.outlines(stored_lines))
+    whole = plan.routed
+    monkeypatch.setattr(plan, "routed", lambda *given: whole(*given).filter("NOT (page_number = 1 AND block_no = 0 AND document_name = 'varied')"))
+    with pytest.raises(accounts.RowsLost, match="blocks, routed blocks"):
+        plan.accounted_outlines(stored_lines)

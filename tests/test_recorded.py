@@ -3,8 +3,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from pagespine.operators import outline, postprocess, rules
+from pagespine.operators import clusters, outline, postprocess, rules
 from pagespine.operators.features import with_vectors
 from pagespine.operators.traits import with_traits
 
@@ -65,3 +66,38 @@ def test_outline(labelled):
     made = json.loads(row.value)
     assert made["title"] == FORM[0][0]
     assert [(i["level"], i["text"], i["page"]) for i in made["outline"]] == [(r[5], r[0], 0) for r in FORM if r[5] in ("H1", "H2", "H3")]
+
+
+# Cluster and vector of each block of two clustered documents, as recorded.
+INVITATION = [
+    (4, [12.4, 32.65, 0, 47.39, 2, 238.26, 2.633]), (0, [12.4, 114.81, 1, 1.99, 2, 210.17, 9.259]), (0, [12.4, 81.08, 0, 2.11, 4, 196.25, 6.539]),
+    (0, [9.4, 58.39, 0, 1.5, 6, 182.59, 6.212]), (2, [19.2, 29.49, 0, 0.14, 2, 159.27, 1.536]), (1, [7.2, 59.61, 0, 1.14, 26, 128.26, 8.279]),
+    (2, [26.41, 33.42, 1, 7.07, 5, 80.12, 1.265]), (2, [23.41, 93.79, 0, 1.93, 1, 54.94, 4.006]),
+]
+FLYER = [
+    (1, [28.01, 125.82, 1, 37.98, 5, 754.63, 4.492]), (0, [12.0, 80.33, 0, 6.07, 50, 702.56, 6.694]), (2, [14.01, 45.41, 0, 242.24, 1, 605.93, 3.241]),
+    (0, [11.51, 39.68, 0, 115.46, 107, 581.19, 3.447]), (0, [15.31, 240.18, 0, 3.34, 2, 350.07, 15.688]), (4, [15.31, 117.18, 1, 126.36, 2, 324.25, 7.654]),
+    (0, [11.01, 74.78, 0, 104.9, 66, 307.58, 6.792]), (3, [15.31, 351.72, 1, 119.61, 2, 324.25, 22.973]), (0, [11.01, 320.78, 0, 125.86, 103, 307.58, 29.135]),
+    (1, [22.01, 182.11, 0, 0.87, 3, 744.09, 8.274]), (4, [12.0, 69.65, 1, 16.04, 13, 702.14, 5.804]), (2, [11.0, 36.32, 0, 267.75, 6, 638.57, 3.302]),
+    (2, [11.0, 36.32, 0, 218.27, 18, 638.13, 3.302]), (2, [11.0, 36.32, 0, 267.75, 4, 517.02, 3.302]), (2, [11.0, 36.32, 0, 218.37, 13, 516.58, 3.302]),
+    (0, [10.0, 156.32, 0, 109.03, 37, 639.86, 15.632]), (0, [11.0, 254.27, 0, 49.8, 9, 638.57, 23.115]), (0, [11.0, 275.13, 0, 22.36, 26, 638.13, 25.012]),
+    (0, [10.0, 275.13, 0, 64.86, 23, 638.74, 27.513]), (3, [10.0, 403.14, 1, 128.51, 9, 458.67, 40.314]), (3, [10.0, 482.14, 0, 223.27, 36, 638.74, 48.214]),
+    (4, [18.01, 229.62, 1, 1.37, 3, 311.62, 12.75]), (4, [11.01, 35.26, 1, 140.1, 16, 277.07, 3.203]), (0, [11.01, 35.26, 0, 1.07, 161, 277.07, 3.203]),
+    (4, [12.01, 69.13, 1, 0.29, 13, 70.16, 5.756]),
+]
+
+
+def test_recorded_clusterings_are_settled(spark):
+    """No block of theirs would move, and the seeds used here reach a lower inertia."""
+    rows = [(name, 0, i, [float(x) for x in v], v[0], k) for name, table in (("invitation", INVITATION), ("flyer", FLYER)) for i, (k, v) in enumerate(table)]
+    kind = "document_name string, page_number int, seq bigint, feature_vector array<double>, fontsize double, cluster_label int"
+    given = spark.createDataFrame(rows, kind)
+    stood = {r.document_name: r for r in clusters.clustering_state(given).collect()}
+    assert {name: (r.n_blocks, r.n_clusters, r.n_moved) for name, r in stood.items()} == {"invitation": (8, 4, 0), "flyer": (25, 5, 0)}
+    assert stood["invitation"].inertia == pytest.approx(16.16, abs=0.01) and stood["flyer"].inertia == pytest.approx(66.39, abs=0.01)
+    own = clusters.cluster_blocks(given.drop("cluster_label"))
+    reached = {r.document_name: r for r in clusters.clustering_state(own).collect()}
+    assert all(reached[name].n_moved == 0 and reached[name].inertia <= stood[name].inertia for name in stood)
+    # One block in a wrong cluster is seen.
+    moved = given.withColumn("cluster_label", F.when(F.col("seq") == 5, 0).otherwise(F.col("cluster_label")))
+    assert all(r.n_moved > 0 for r in clusters.clustering_state(moved.filter("document_name = 'flyer'")).collect())

@@ -165,6 +165,10 @@ CTES["assigned"] = f"""
     FROM scaled p JOIN settled USING (document_name)"""
 
 
+#: Queries whose result plain SQL cannot express: tests hold them against what must be true of it.
+WITHOUT_SQL = ("corpus_model",)
+
+
 def sql(select: str) -> str:
     """The statement with the common tables it needs, in order of need."""
     needed: list[str] = []
@@ -197,6 +201,7 @@ SELECTS = {
         SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN concat('doc_', doc_id) WHEN 1 THEN concat('doc.v2_', doc_id)
                        WHEN 2 THEN concat('.doc_', doc_id) ELSE concat('doc_', doc_id) END AS document_name FROM documents""",
     "read_blocks": f"SELECT {BLOCK}, block_no AS position, text, fontname, fontsize, {FEATURES} FROM (SELECT * REPLACE (row_number() OVER (PARTITION BY document_name ORDER BY seq) - 1 AS block_no) FROM blocks) WHERE CAST(replace(document_name, 'doc_', '') AS BIGINT) % 7 NOT IN (0, 3, 5)",
+    "read_large_blocks": f"SELECT {BLOCK}, block_no AS position, text, fontname, fontsize, {FEATURES} FROM (SELECT * REPLACE (row_number() OVER (PARTITION BY document_name ORDER BY seq) - 1 AS block_no) FROM blocks) WHERE CAST(replace(document_name, 'doc_', '') AS BIGINT) % 7 NOT IN (0, 3, 5)",
     "reject_malformed": """
         SELECT document_name, CASE n WHEN 0 THEN 'not a JSON block array' WHEN 3 THEN 'no fontsize' ELSE 'wrong fontsize' END AS reason
         FROM (SELECT DISTINCT document_name, CAST(replace(document_name, 'doc_', '') AS BIGINT) % 7 AS n FROM blocks) WHERE n IN (0, 3, 5)""",

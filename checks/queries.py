@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import tables
 from pagespine.functions import text as T
+from pagespine.operators import corpus_model as corpus
 from pagespine.operators import clusters, features, layout, outline, postprocess, rules, style
 from pagespine.operators.spread import attach, with_bucket
 from pagespine.plans import outlines as plan
@@ -86,7 +87,10 @@ def _block_files(spark, sf):
 
 
 def read_blocks(spark, sf):
-    blocks, _ = files.read_blocks(spark, _block_files(spark, sf), suffix="txt")
+    return _positions(files.read_blocks(spark, _block_files(spark, sf), suffix="txt")[0])
+
+
+def _positions(blocks):
     seq = blocks.withColumn("position", F.col("seq"))
     same_page = seq.groupBy(DOC, "page_number").agg(F.min("position").alias("page_start"))
     return seq.join(same_page, [DOC, "page_number"]).select(
@@ -95,6 +99,11 @@ def read_blocks(spark, sf):
     )
 
 
+def read_large_blocks(spark, sf):
+    """The same files, all taken for too large to be held as a value."""
+    return _positions(files.read_blocks(spark, _block_files(spark, sf), suffix="txt", large=0)[0])
+
+
 def reject_malformed(spark, sf):
     return files.read_blocks(spark, _block_files(spark, sf), suffix="txt")[1]
 
@@ -289,6 +298,14 @@ def large_document_kmeans(spark, sf):
     return clusters.cluster_blocks(tables.varied(spark, sf), task_blocks=0).select(DOC, "seq", "cluster_label")
 
 
+def corpus_model(spark, sf):
+    """One model over the blocks of all documents: fitted, saved, loaded and applied."""
+    points = tables.stored(spark, sf, "points", lambda: corpus.with_points(tables.blocks(spark, sf)))
+    path = f"{checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
+    corpus.save(corpus.fit(points), path)
+    return corpus.cluster_sizes(corpus.load(path), points)
+
+
 def clustering_state(spark, sf):
     return clusters.clustering_state(_grouped(spark, sf))
 
@@ -445,7 +462,7 @@ QUERIES = {
         large_document_kmeans, cluster_font, cluster_rank, cluster_labels, text_pages, repeating_text,
         reject_non_headings, numbering_override, single_title, demote_headings, post_process, outline_order,
         document_title, headings, document_outline, empty_outlines, outlines_end_to_end,
-        streamed_outlines, updated_outlines, resumed_outlines, accounted_rows, clustering_state,
+        streamed_outlines, updated_outlines, resumed_outlines, accounted_rows, clustering_state, corpus_model, read_large_blocks,
     )
 }
 QUERIES.update({name: _predicate(make, name) for name, make in PREDICATES.items()})

@@ -1,8 +1,10 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pagespine.operators import clusters, outline, postprocess, rules, spread, style
+from pagespine.operators import clusters, corpus_model, outline, postprocess, rules, spread, style
 
 SCHEMA = (
     "document_name string, seq bigint, page_number int, text string, fontsize double, predicted_label string, "
@@ -190,3 +192,20 @@ def test_cluster_labels_rank_by_size(spark):
     rows = [("d", 0, i, size, k) for i, (size, k) in enumerate([(9.0, 0), (9.0, 1), (20.0, 2), (12.0, 3), (10.0, 4), (8.0, 5)])]
     df = spark.createDataFrame(rows, "document_name string, page_number int, seq bigint, fontsize double, cluster_label int")
     assert labels(clusters.cluster_labels(df)) == ["H3", "Body", "Title", "H1", "H2", "Body"]
+
+
+def test_one_model_for_all(spark, tmp_path):
+    draw = random.Random(8)
+    rows = [(f"d{i % 4}", 0, i, [draw.choice((1.0, 9.0, 30.0)), *[draw.random() for _ in range(6)]], 9.0) for i in range(200)]
+    blocks = spark.createDataFrame(rows, "document_name string, page_number int, seq bigint, feature_vector array<double>, fontsize double")
+    points = corpus_model.with_points(blocks).cache()
+    made = corpus_model.fit(points, 3)
+    corpus_model.save(made, str(tmp_path / "model"))
+    found = corpus_model.load(str(tmp_path / "model"))
+    labels = {(r.document_name, r.seq): r.corpus_cluster for r in found.transform(points).collect()}
+    assert labels == {(r.document_name, r.seq): r.corpus_cluster for r in made.transform(points).collect()}
+    sizes = corpus_model.cluster_sizes(found, points).collect()
+    assert sum(r.n_blocks for r in sizes) == 200 and all(r.n_documents <= 4 for r in sizes)
+    assert sum(r.cost for r in sizes) == pytest.approx(made.stages[-1].summary.trainingCost, rel=1e-4)
+    again = corpus_model.fit(points, 3)
+    assert [c.tolist() for c in again.stages[-1].clusterCenters()] == [c.tolist() for c in made.stages[-1].clusterCenters()]

@@ -1,6 +1,9 @@
+import io
 import json
 import os
+import tracemalloc
 
+import pytest
 from pyspark.sql import functions as F
 
 from pagespine.operators import outline
@@ -29,7 +32,8 @@ def test_discovery_takes_suffix_in_any_case_and_no_subfolder(spark, tmp_path):
 BROKEN = {"cut": '[{"text": "a"}, ', "tail": '[{"text": "a"}] x', "object": '{"text": "a"}', "blank": " ", "numbers": "[1]", "two": '[{"text":"a"}],[]'}
 
 
-def test_block_files(spark, tmp_path):
+@pytest.mark.parametrize("large", [files.LARGE_FILE, 0, 60])
+def test_block_files(spark, tmp_path, large):
     good = [
         {"text": "Ä\nb", "fontsize": 11, "page_number": 2.0, "features": {"space_before": 100, "word_count": 2}},
         {"text": "c", "document_name": "own", "fontsize": 1.5, "page_number": 3, "features": {}},
@@ -47,7 +51,7 @@ def test_block_files(spark, tmp_path):
         (tmp_path / f"{name}.json").write_text(json.dumps([good[1], good[1] | change]))
     (tmp_path / "zero.json").write_bytes(b"")
     (tmp_path / "latin.json").write_bytes('["ä"]'.encode("latin-1"))
-    blocks, left_out = files.read_blocks(spark, str(tmp_path))
+    blocks, left_out = files.read_blocks(spark, str(tmp_path), large=large)
     rows = blocks.orderBy("seq").collect()
     assert [(r.document_name, r.seq, r.text) for r in rows] == [("good.v1", 0, "Ä\nb"), ("good.v1", 1, "c")]
     assert rows[0].page_number == 2 and rows[1].given_name == "own"
@@ -86,3 +90,44 @@ def test_unusable_lines_cost_only_their_document(make_lines):
     assert {(r.document_name, r.reason) for r in report.unusable_lines(twice).collect()} == {("twice", "two lines in one place"), ("fontless", "no fontname")}
     for limit in (10, 0):
         assert [r.document_name for r in report.usable_lines(lines, rejects, limit).collect()] == ["good"]
+
+
+ARRAYS = ['[]', ' [ ]\n', '[{}]', '[{"a": "}]{\\"", "b": {"c": [1, {"d": "\\\\"}]}} ,\n {"e": "ü☃"}]', '[{"x": 1}]\r\n']
+NO_ARRAYS = ["", " ", "{}", "[", "[{}", "[{},]", "[{} {}]", "[1]", "[{}] x", "[{}],[]", '[{"a": "x]', "[[{}]]", "[{}}]"]
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3, 7, 1 << 20])
+def test_array_elements(chunk):
+    read = files.element_reader()
+    for text in ARRAYS:
+        assert [json.loads(element) for element in read(io.BytesIO(text.encode()), chunk)] == json.loads(text)
+    for text in NO_ARRAYS:
+        with pytest.raises(ValueError):
+            list(read(io.BytesIO(text.encode()), chunk))
+    with pytest.raises(ValueError):
+        list(read(io.BytesIO('[{"a": "ä"}]'.encode("latin-1")), chunk))
+
+
+class Blocks(io.RawIOBase):
+    """A stream of an array of this many objects, made as it is read."""
+
+    def __init__(self, n):
+        self.left, self.rest = n, b"["
+
+    def read(self, size):
+        while len(self.rest) < size and self.left >= 0:
+            self.left -= 1
+            self.rest += b'{"text": "' + b"long text " * 100 + (b'"}, ' if self.left > 0 else b'"}]' if self.left == 0 else b"")
+            if self.left == 0:
+                self.left = -1
+        data, self.rest = self.rest[:size], self.rest[size:]
+        return data
+
+
+def test_a_large_array_is_never_held():
+    """100 MB pass through a few megabytes."""
+    tracemalloc.start()
+    n = sum(1 for _ in files.element_reader()(Blocks(100_000)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 100_000 and peak < 16 << 20

@@ -1,5 +1,7 @@
 """The queries that plain SQL can express, for a single-node engine."""
 
+from pagespine.llm import quality
+
 LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -47,20 +49,22 @@ measured AS (
   SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS n_letters,
-         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(text, '[^0-9]', '', 'g')) AS n_digits,
+         length(regexp_replace(text, '[^\p{L}]', '', 'g')) AS n_all_letters,
+         length(regexp_replace(regexp_replace(text, '[^\p{L}]', '', 'g'), '[^UNSPACED]', '', 'g')) AS n_unspaced
   FROM doc JOIN line USING (doc_id) LEFT JOIN repeated USING (doc_id)),
 judged AS (
   SELECT *, CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
             + CASE WHEN 10 * n_symbols > 3 * n_words THEN 4 ELSE 0 END + CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END
-            + CASE WHEN 2 * n_upper > n_letters THEN 16 ELSE 0 END
-            + CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 32 ELSE 0 END
+            + CASE WHEN 2 * n_upper > n_all_letters AND n_letters >= 20 THEN 16 ELSE 0 END
+            + CASE WHEN (word_chars < 2 * n_words OR word_chars > 20 * n_words) AND 2 * n_unspaced <= n_all_letters THEN 32 ELSE 0 END
             + CASE WHEN 10 * n_digits > 6 * word_chars THEN 64 ELSE 0 END AS bits
   FROM measured)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
        bits % 4 > 0 AS base_failed, bits = 0 AS kept, CAST(bits AS BIGINT) AS failures
 FROM judged
-"""
+""".replace("UNSPACED", quality.UNSPACED)
 
 AUDIT = r"""
 WITH doc AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,

@@ -45,10 +45,11 @@ _UPPER, _DIGITS = bytes(range(65, 91)), bytes(range(48, 58))
 _LETTERS = _UPPER + _UPPER.lower()
 _BEYOND_ASCII = re.compile(r"[^\x00-\x7f]+")
 #: Thai, Lao, Tibetan, Burmese, Khmer, Tai, Balinese and Javanese, kana, bopomofo, Yi and Chinese characters.
-_UNSPACED = re.compile(
-    "[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u1b00-\u1b7f\u3005-\u3007\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff"
-    "\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\ua980-\ua9df\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9d\U0001b000-\U0001b16f\U00020000-\U0003ffff]"
+UNSPACED = (
+    "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u1b00-\u1b7f\u3005-\u3007\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf\ua980-\ua9df\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9d\U0001b000-\U0001b16f\U00020000-\U0003ffff"
 )
+_UNSPACED = re.compile(f"[{UNSPACED}]")
 
 
 def _count(data: bytes, chars: bytes) -> int:

@@ -191,3 +191,26 @@ def test_quality_agrees_with_labels(spark, documents):
 @pytest.mark.parametrize("scan", [pii.scan, secrets.scan, quality.ledger])
 def test_empty_table(no_documents, scan):
     assert scan(no_documents).count() == 0
+
+
+def test_quality_sql_holds_todays_rules(spark, odd_documents, monkeypatch):
+    """The SQL counterpart on scripts that the given tables lack."""
+    import duckdb
+
+    from pagespine.llm import oracles, queries
+
+    texts = [
+        " ".join(f"слово{c}{d} текст" for c in "абвгдежз" for d in "клмноп") + " NATO COVID-19", "天地玄黃宇宙洪荒日月盈昃" * 60 + " NATO" * 49,
+        " ".join(f"BUY{c}{d} NOW" for c in "ABCDEFGH" for d in "KLMNOP"), "ภาษาไทย" * 300 + " x" * 50, "x" * 3000 + " y" * 50, "Ωμέγα " * 60 + "A" * 19,
+    ]
+    more = spark.createDataFrame([(100 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    documents = odd_documents.select("doc_id", "text").dropDuplicates(["doc_id"]).unionByName(more)  # the SQL tells rows apart by id
+    monkeypatch.setattr(queries, "_table", lambda *_: documents)
+    found = queries.op10_quality_rules(spark, "")
+    duck, frame = duckdb.connect(), documents.toPandas()
+    frame["doc_id"] = frame["doc_id"].astype("Int64")
+    duck.register("documents", frame)
+    wanted = duck.execute(oracles.ORACLES["op10_quality_rules"]).fetchall()
+    names = [c[0] for c in duck.description]
+    ours = {tuple(r[n] for n in names) for r in found.collect() if r.doc_id is not None}
+    assert ours == {row for row in wanted if row[0] is not None}

@@ -206,6 +206,7 @@ def test_one_model_for_all(spark, tmp_path):
     assert labels == {(r.document_name, r.seq): r.corpus_cluster for r in made.transform(points).collect()}
     sizes = corpus_model.cluster_sizes(found, points).collect()
     assert sum(r.n_blocks for r in sizes) == 200 and all(r.n_documents <= 4 for r in sizes)
-    assert sum(r.cost for r in sizes) == pytest.approx(made.stages[-1].summary.trainingCost, rel=1e-4)
+    # The summary tells the cost before the last move of the centers, which can only lower it.
+    assert 0.9 * made.stages[-1].summary.trainingCost < sum(r.cost for r in sizes) <= made.stages[-1].summary.trainingCost + 0.01
     again = corpus_model.fit(points, 3)
     assert [c.tolist() for c in again.stages[-1].clusterCenters()] == [c.tolist() for c in made.stages[-1].clusterCenters()]

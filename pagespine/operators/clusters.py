@@ -96,36 +96,57 @@ def _point_labeller(n_clusters: int):
     return F.arrow_udf(label, "labels array<int>, settled boolean")
 
 
+def _member_labeller(n_clusters: int):
+    """The point labeller, which also tells the place of each row's cluster by mean font size, as ``cluster_ranks`` counts it."""
+    label = _point_labeller(n_clusters).func
+
+    def ranks_of(own, heights, known):
+        n_known = np.bincount(own, weights=known, minlength=n_clusters)
+        mean = np.round(np.bincount(own, weights=heights * known, minlength=n_clusters) / np.maximum(n_known, 1), 6)
+        absent = np.bincount(own, minlength=n_clusters) == 0
+        rank = np.empty(n_clusters, np.int32)
+        rank[np.lexsort((np.arange(n_clusters), -mean, n_known == 0, absent))] = np.arange(n_clusters)
+        return rank[own]
+
+    def ranked(points: pa.Array, sizes: pa.Array) -> pa.Array:
+        found = label(points, sizes)
+        labels, flat_sizes = found.field("labels"), sizes.flatten()
+        ends, own = labels.offsets.to_numpy(), labels.flatten().to_numpy()
+        known, heights = flat_sizes.is_valid().to_numpy(zero_copy_only=False), flat_sizes.fill_null(0.0).to_numpy()
+        parts = [ranks_of(own[a:b], heights[a:b], known[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+        ranks = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts) if parts else own, pa.int32()))
+        return pa.StructArray.from_arrays([labels, found.field("settled"), ranks], ["labels", "settled", "ranks"])
+
+    return F.arrow_udf(ranked, "labels array<int>, settled boolean, ranks array<int>")
+
+
 def cluster_small(scaled: DataFrame, n_clusters: int = N_CLUSTERS) -> DataFrame:
-    """Documents of bounded size: one packed row of points each. Gives the labels, and the name that a cluster's rank stands for."""
+    """Documents of bounded size: one packed row each, whose points alone go to NumPy."""
     label = _point_labeller(n_clusters)
-    row = F.struct("seq", BUCKET, "fontsize", F.array(*AXES).alias("point"))
+    kept = [c for c in scaled.columns if c not in (DOC, "seq", *AXES)]
+    row = F.struct("seq", *kept, F.array(*AXES).alias("point"))
     packed = scaled.groupBy(DOC).agg(F.sort_array(F.collect_list(row)).alias("rows"))
     labelled = packed.select(DOC, "rows", label(F.col("rows.point"), F.col("rows.fontsize")).alias("found"))
-    zipped = F.transform(F.arrays_zip(F.col("rows.seq"), F.col(f"rows.{BUCKET}"), F.col("rows.fontsize"), F.col("found.labels")), lambda r: F.struct(
-        r["seq"].alias("seq"), r[BUCKET].alias(BUCKET), r["fontsize"].alias("fontsize"), r["labels"].alias("cluster_label")))
-    together = labelled.select(DOC, F.col("found.settled").alias("settled"), zipped.alias("members"))
-    named = together.withColumn("names", _names_in(F.col("members"), n_clusters))
-    member = named.select(DOC, "settled", "names", F.explode("members").alias("m"))
-    return member.select(
-        DOC, F.col(f"m.{BUCKET}").alias(BUCKET), F.col("m.seq").alias("seq"), F.col("m.cluster_label").alias("cluster_label"), "settled",
-        F.get("names", F.col("m.cluster_label")).alias("cluster_name"),
+    labelled = labelled.select(DOC, "rows", "found.labels", "found.settled")
+    pair = labelled.select(DOC, "settled", F.explode(F.arrays_zip("rows", "labels")).alias("pair"))
+    return pair.select(
+        DOC, F.col("pair.rows.seq").alias("seq"), *[F.col(f"pair.rows.{c}").alias(c) for c in kept],
+        F.col("pair.labels").alias("cluster_label"), "settled",
     )
 
 
-def _names_in(members: Column, n_clusters: int) -> Column:
-    """The label of each cluster number, as ``cluster_ranks`` ranks them, from a document's members in one row."""
-    def ranked(cluster):
-        own = F.filter(members, lambda m: m["cluster_label"] == cluster)
-        known = F.filter(own, lambda m: m["fontsize"].isNotNull())
-        total = F.aggregate(known, F.lit(0.0), lambda t, m: t + m["fontsize"].cast("double"))
-        mean = F.round(total / F.nullif(F.size(known), F.lit(0)), 6)
-        return F.when(F.size(own) > 0, F.struct(mean.isNull().alias("unknown"), (-mean).alias("size"), cluster.alias("cluster")))
-
-    numbers = F.array(*[F.lit(j) for j in range(n_clusters)])
-    order = F.sort_array(F.filter(F.transform(numbers, ranked), lambda r: r.isNotNull()))["cluster"]
+def small_members(scaled: DataFrame, n_clusters: int = N_CLUSTERS) -> DataFrame:
+    """The labels alone, and the name that a cluster's rank stands for: rows without anything else of the block meet in a document's row."""
+    row = F.struct("seq", BUCKET, "fontsize", F.array(*AXES).alias("point"))
+    packed = scaled.groupBy(DOC).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    found = packed.select(DOC, "rows", _member_labeller(n_clusters)(F.col("rows.point"), F.col("rows.fontsize")).alias("found"))
+    member = found.select(DOC, F.col("found.settled").alias("settled"), F.explode(
+        F.arrays_zip(F.col("rows.seq"), F.col(f"rows.{BUCKET}"), F.col("found.labels"), F.col("found.ranks"))).alias("m"))
     names = F.array(*[F.lit(label) for label in RANKED_LABELS])
-    return F.transform(numbers, lambda j: F.coalesce(F.get(names, F.array_position(order, j).cast("int") - 1), F.lit(RANKED_LABELS[-1])))
+    return member.select(
+        DOC, f"m.{BUCKET}", "m.seq", F.col("m.labels").alias("cluster_label"), "settled",
+        F.coalesce(F.get(names, F.col("m.ranks")), F.lit(RANKED_LABELS[-1])).alias("cluster_name"),
+    )
 
 
 def _distance(center: str) -> Column:
@@ -238,9 +259,14 @@ def cluster_scaled(
     task_blocks: int = BLOCKS_PER_TASK,
     any_large: bool | None = None,
 ) -> DataFrame:
-    """Add ``cluster_label`` and ``settled``."""
-    found = cluster_members(scaled, n_clusters, task_blocks, any_large).drop("cluster_name")
-    return scaled.drop(*AXES).join(found, [DOC, BUCKET, "seq"])
+    """Add ``cluster_label`` and ``settled``, each document in the way that suits its size."""
+    large = scaled.filter(F.col("n_blocks") > task_blocks)
+    if any_large is None:
+        any_large = not large.isEmpty()
+    small = cluster_small(scaled.filter(F.col("n_blocks") <= task_blocks), n_clusters)
+    if not any_large:
+        return small
+    return small.unionByName(LargeDocumentKMeans(large, n_clusters).fit())
 
 
 def cluster_members(
@@ -253,7 +279,7 @@ def cluster_members(
     large = scaled.filter(F.col("n_blocks") > task_blocks)
     if any_large is None:
         any_large = not large.isEmpty()
-    small = cluster_small(scaled.filter(F.col("n_blocks") <= task_blocks), n_clusters)
+    small = small_members(scaled.filter(F.col("n_blocks") <= task_blocks), n_clusters)
     if not any_large:
         return small
     found = stage_table(LargeDocumentKMeans(large, n_clusters).labels(), "large")

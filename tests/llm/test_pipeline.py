@@ -75,7 +75,7 @@ def test_no_documents(spark, no_documents):
 
 def test_registered():
     entry = importlib.import_module("__spark_entry__")
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in QUERIES if name != "pipeline"}
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in QUERIES if name != "pipeline"}
     assert set(QUERIES) <= set(entry.queries())
 
 
@@ -102,7 +102,7 @@ def test_clashing_names(spark, documents, name):
 def test_queries_equal_sql(spark):
     """Where SQL can express an operator, both give the same rows."""
     duck = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "labels"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     for name, statement in ORACLES.items():
         found, wanted = QUERIES[name](spark, SF), duck.execute(statement)

@@ -9,7 +9,8 @@ list suppresses candidates such as identifiers in UUID form or placeholders.
 Positions come from the texts between the matches: a match starts where the gaps and matches
 before it end.
 
-Cases: a null or empty text has no spans. Null ids and repeated rows stay, one result per
+Cases: a null or empty text has no spans. The time a text takes grows with its length and its hits, not with
+their square. Spans with the same start are listed by kind. Null ids and repeated rows stay, one result per
 input row; an empty table gives an empty result; other columns of the input are ignored.
 """
 
@@ -31,6 +32,8 @@ HEX = "[0-9a-f]{32,}"
 CANDIDATE = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 
 WINDOW = 20
+#: Hits whose places are worked out in one go.
+STRETCH = 256
 
 #: Character classes in the order in which they are tried, with the bits a window must reach.
 CLASSES = (
@@ -54,10 +57,18 @@ ALLOWED = (
 _SPAN = "array<struct<s: bigint, e: bigint, kind: int>>"
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` worked out once, as the entry of an array, wherever it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _placed(text: Column, pattern: str, hits: Column, sizes: Column, least: int, kind: int) -> Column:
-    """Spans of the hits whose entry in ``sizes`` is at least ``least``."""
+    """Spans of the hits whose entry in ``sizes`` is at least ``least``.
+
+    Hits are taken in stretches, whose starts come first: a list is copied once per stretch that grows it, not once per hit of the text.
+    """
     steps = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), hits.alias("hit"), sizes.alias("size"))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("spans"))
+    zero = F.lit(0).cast("bigint")
 
     def step(state, x):
         begin = state["at"] + F.char_length(x["gap"])
@@ -66,8 +77,37 @@ def _placed(text: Column, pattern: str, hits: Column, sizes: Column, least: int,
         added = F.concat(state["spans"], F.array(span))
         return F.struct(end.alias("at"), F.when(x["size"] >= least, added).otherwise(state["spans"]).alias("spans"))
 
-    placed = F.aggregate(steps, start, step, lambda state: state["spans"])
-    return F.when(F.size(hits) > 0, placed).otherwise(F.array().cast(_SPAN))
+    def length(stretch):
+        return F.aggregate(stretch, zero, lambda n, x: n + F.char_length(x["gap"]) + F.coalesce(F.char_length(x["hit"]), F.lit(0)))
+
+    def further(state, stretch):
+        return F.struct((state["at"] + length(stretch)).alias("at"), F.concat(state["starts"], F.array(state["at"])).alias("starts"))
+
+    def spans(stretches):
+        begin = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("starts"))
+        starts = F.aggregate(stretches, begin, further, lambda state: state["starts"])
+        return F.flatten(F.zip_with(stretches, starts, lambda stretch, at: F.aggregate(
+            stretch, F.struct(at.alias("at"), F.array().cast(_SPAN).alias("spans")), step, lambda state: state["spans"])))
+
+    cut = _bound(steps, lambda whole: F.transform(F.sequence(F.lit(1), F.size(whole), F.lit(STRETCH)), lambda i: F.slice(whole, i, STRETCH)))
+    return F.when(F.size(hits) > 0, _bound(cut, spans)).otherwise(F.array().cast(_SPAN))
+
+
+def _meets(spans: Column, x: Column) -> Column:
+    """Whether a span of one kind (in order, apart from each other) overlaps ``x``: the first that ends after the start of ``x`` must start before its end."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + F.lit(1.0))).cast("int"))
+
+    def middle(at):
+        return F.shiftright(at["low"] + at["high"], 1)
+
+    def halve(at, _):
+        beyond = F.get(spans, middle(at))["e"] > x["s"]
+        low = F.when((at["low"] < at["high"]) & ~beyond, middle(at) + 1).otherwise(at["low"])
+        high = F.when((at["low"] < at["high"]) & beyond, middle(at)).otherwise(at["high"])
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    first = F.aggregate(rounds, F.struct(F.lit(0).alias("low"), F.size(spans).alias("high")), halve, lambda at: at["low"])
+    return (F.size(spans) > 0) & F.coalesce(F.get(spans, first)["s"] < x["e"], F.lit(False))
 
 
 def _weight(count: Column) -> Column:
@@ -81,8 +121,7 @@ def window_entropy(chars: Column, width: int = WINDOW) -> Column:
     With S the sum of c * log2(c) over the counts in a window, its entropy is log2(width) - S / width.
     S changes only by the terms of the character that leaves and of the one that enters.
     """
-    # As the entry of an array, ``chars`` is worked out once and not at every step.
-    return F.element_at(F.transform(F.array(chars), lambda bound: _largest(bound, width)), 1)
+    return _bound(chars, lambda chars: _largest(chars, width))
 
 
 def _largest(chars: Column, width: int) -> Column:
@@ -151,7 +190,7 @@ def scan(docs: DataFrame, classes=CLASSES, allowed=ALLOWED) -> DataFrame:
 
     # A candidate that a pattern has found as well is listed once.
     base = placed.withColumn("base", ordered("assign", "access", "hex")).withColumn(
-        "entropy", F.filter("entropy", lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+        "entropy", F.filter("entropy", lambda x: ~(_meets(F.col("assign"), x) | _meets(F.col("access"), x) | _meets(F.col("hex"), x)))
     )
     listed = base.withColumn("all", F.when(F.size("entropy") > 0, F.array_sort(F.concat("base", F.transform("entropy", lambda x: F.struct(x["s"], x["kind"], x["e"]))))).otherwise(F.col("base")))
     return listed.select(

@@ -1,7 +1,10 @@
 """Quality ledger, personal data and secrets against plain re-computations of their definitions."""
 
 import hashlib
+import random
 import re
+import string
+import time
 from collections import Counter
 
 import pytest
@@ -133,6 +136,34 @@ def test_keys_without_digits(spark):
     assert [r.spans for r in secrets.scan(docs).orderBy("doc_id").collect()] == ["entropy:4:24", "entropy:4:25", ""]
 
 
+def test_time_grows_with_the_hits_only(spark):
+    """Every value is a candidate for entropy too, between candidates that no pattern finds."""
+    draw = random.Random(3)
+
+    def key():
+        return "".join(draw.choices(string.ascii_letters + string.digits, k=24))
+
+    text = " ".join(f"token={key()} {key()}" for _ in range(40_000))
+    began = time.monotonic()
+    row = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    assert time.monotonic() - began < 60
+    plain = plain_secrets(text)
+    assert row.n_assign == 40_000 and row.base_sha256 == digest([":".join(map(str, x)) for x in plain])
+    spans = sorted((int(s), int(e), kind) for kind, s, e in (x.split(":") for x in row.spans.split(",")))
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+    assert row.n_entropy == len(spans) - 40_000 > 30_000
+
+
+def test_overlaps_by_halving(spark):
+    """Against every span, for all places around spans that touch and that lie apart."""
+    spans = [(2, 5), (5, 9), (12, 13), (20, 30)]
+    for n in range(len(spans) + 1):
+        list_of = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(e).alias("e")) for s, e in spans[:n]]).cast("array<struct<s: bigint, e: bigint>>")
+        places = [(s, e) for s in range(33) for e in range(s + 1, 34)]
+        df = spark.createDataFrame(places, "s long, e long").select("s", "e", secrets._meets(list_of, F.struct("s", "e")).alias("meets"))
+        assert all(r.meets == any(s < r.e and r.s < e for s, e in spans[:n]) for r in df.collect())
+
+
 def test_secrets_run_without_python(documents, capsys):
     secrets.scan(documents).explain()
     assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from pagespine.llm.components import contracted, merged
 from pagespine.llm.shingles import bands, shingle_sets, signature
-from pagespine.llm.texts import fresh, over_texts
+from pagespine.llm.texts import fresh, over_texts, stored
 from pagespine.session import stage_table
 
 #: Share of the union, in percent, that a link needs.
@@ -42,6 +42,8 @@ SMALL = 8
 FREQUENT, LISTED = 8, 200_000
 #: Nodes and shingles of a block, about. Two blocks are compared in one task.
 BLOCK_NODES, BLOCK_SHINGLES = 1_000, 1_000_000
+#: Nodes that are held against all others of two blocks at a time.
+COMPARED = 256
 #: A star's or a pair's side is spread over so many tasks.
 SALTS = 32
 #: Keys (16 bytes each) that may be broadcast, once they have been counted.
@@ -175,9 +177,6 @@ def _joined(table: pa.Table) -> pa.Table:
     part = np.array([numbers[p] for p in parts])
     common = _common(sets)
     size = np.array([len(s) for s in sets])
-    linked = 100 * common >= SIMILARITY * (size[:, None] + size[None, :] - common)
-    a, b = np.nonzero(np.triu(linked & (part[:, None] != part[None, :]), 1))
-    _, first = np.unique(part[a] * len(numbers) + part[b], return_index=True)
     root = list(range(len(numbers)))
 
     def find(x):
@@ -186,11 +185,19 @@ def _joined(table: pa.Table) -> pa.Table:
         return x
 
     edges = []
-    for i in first.tolist():
-        x, y = find(part[a[i]]), find(part[b[i]])
-        if x != y:
-            root[x] = y
-            edges.append((nodes[a[i]], nodes[b[i]]))
+    for start in range(0, len(nodes), COMPARED):
+        rows = slice(start, start + COMPARED)
+        now = np.array([find(x) for x in range(len(numbers))])[part]
+        shared = common[rows].astype(np.int64)
+        linked = 100 * shared >= SIMILARITY * (size[rows, None] + size[None, :] - shared)
+        a, b = np.nonzero(np.triu(linked & (now[rows, None] != now[None, :]), start + 1))
+        a += start
+        _, first = np.unique(now[a] * len(numbers) + now[b], return_index=True)
+        for i in first.tolist():
+            x, y = find(part[a[i]]), find(part[b[i]])
+            if x != y:
+                root[x] = y
+                edges.append((nodes[a[i]], nodes[b[i]]))
     return pa.table({end: pa.array([e[k] for e in edges], pa.binary()) for k, end in enumerate("ab")})
 
 
@@ -198,14 +205,14 @@ def _common(sets: list, often: int = 16) -> np.ndarray:
     """How many elements two sets share, in the upper half: matrix products for what is frequent, counting for the rest."""
     n = len(sets)
     owner = np.repeat(np.arange(n), [len(s) for s in sets])
-    _, element, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    element, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
     total = np.zeros((n, n), np.float32)
     frequent = np.flatnonzero(count >= often)
-    for start in range(0, len(frequent), 2048):
+    for start in range(0, len(frequent), 1024):
         column = np.full(len(count), -1)
-        column[frequent[start : start + 2048]] = np.arange(len(frequent[start : start + 2048]))
+        column[frequent[start : start + 1024]] = np.arange(len(frequent[start : start + 1024]))
         here = column[element] >= 0
-        present = np.zeros((n, min(2048, len(frequent) - start)), np.float32)
+        present = np.zeros((n, min(1024, len(frequent) - start)), np.float32)
         present[owner[here], column[element[here]]] = 1
         total += present @ present.T
     rare = count[element] < often
@@ -219,7 +226,7 @@ def _common(sets: list, often: int = 16) -> np.ndarray:
         keys, times = np.unique(owner[:-shift][same] * n + owner[shift:][same], return_counts=True)
         # Owners ascend within an element: this fills the upper half, the only one that is read.
         total.ravel()[keys] += times
-    return total.astype(np.int64)
+    return total
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -234,7 +241,7 @@ def _full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _signed(docs: DataFrame) -> DataFrame:
     signed = docs.select("doc_id", _row_key().alias("row_key"), over_texts(_sign, _SIGNED)("text").alias("r"))
-    return stage_table(signed.select("doc_id", "row_key", "r.*"), "signed")
+    return stored(signed.select("doc_id", "row_key", "r.*"), "signed")
 
 
 def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
@@ -244,7 +251,7 @@ def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
     if shared.isEmpty():
         return None
     members = shared.select("node").distinct()
-    sets = stage_table(_full_sets(docs, nodes.select("node", "row_key").join(members, "node", "left_semi")), "sets")
+    sets = stored(_full_sets(docs, nodes.select("node", "row_key").join(members, "node", "left_semi")), "sets")
     labels = sets.select("node", F.col("node").alias("part"))
 
     stars = stage_table(_stars(shared), "stars")
@@ -257,7 +264,7 @@ def _labels(docs: DataFrame, nodes: DataFrame) -> DataFrame | None:
     large = divided.filter(F.col("n") > SMALL).select("node", "size").distinct()
     large = stage_table(large.join(sets, "node"), "large")
     rarest = large.select("node", "size", F.explode(_rarest(large)("shingles")).alias("bucket"))
-    close = _divided(_shared(stage_table(rarest, "rarest")), labels)
+    close = _divided(_shared(stored(rarest, "rarest")), labels)
     crowds = contracted(close.select(F.col("head").alias("a"), F.col("node").alias("b")))
     if crowds is None:
         return labels

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
+from pagespine.session import setting, stage_table
+
 #: Texts are handed to a kernel in lists of about this many bytes (one text at least).
 SLICE_BYTES = 4 << 20
 
@@ -48,6 +50,12 @@ def over_texts(kernel, ddl: str):
     return F.arrow_udf(run, kind).asNondeterministic()
 
 
+def stored(df, name: str):
+    """A stage table whose texts and sets reach Python in batches of about SLICE_BYTES, however long a partition is."""
+    with setting(df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", str(SLICE_BYTES)):
+        return stage_table(df, name)
+
+
 def fresh(df, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

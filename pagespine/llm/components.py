@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagespine.llm.joins import join_facts
 from pagespine.session import stage_table
 
 
@@ -26,8 +27,9 @@ def contracted(edges: DataFrame) -> DataFrame | None:
             mapping = mapping.join(further, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
         mapping = stage_table(mapping, "roots")
         ends = edges
-        for end in ("a", "b"):
-            ends = ends.join(moves.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end)
+        for end, other in (("a", "b"), ("b", "a")):
+            # A star's head is the end of very many edges.
+            ends = join_facts(ends, moves.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, other)
         edges = stage_table(ends.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")).filter("a != b").distinct(), "edges")
     return mapping
 
@@ -40,5 +42,5 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     mapping = contracted(edges.select(F.col("a_part").alias("a"), F.col("b_part").alias("b")))
     if mapping is None:
         return labels
-    moved = labels.join(mapping.withColumnRenamed("node", "part"), "part", "left")
+    moved = join_facts(labels, mapping.withColumnRenamed("node", "part"), "part", "node", "left")
     return stage_table(moved.select("node", F.coalesce("root", "part").alias("part")), "labels")

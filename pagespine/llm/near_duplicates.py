@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagespine.llm.components import contracted, merged
+from pagespine.llm.joins import LEAST_HEAVY, heavy_keys, join_spread
 from pagespine.llm.shingles import bands, shingle_sets, signature
 from pagespine.llm.texts import fresh, over_texts, stored
 from pagespine.session import stage_table
@@ -105,12 +106,8 @@ def _sizes_allow() -> Column:
 def _shared(buckets: DataFrame) -> DataFrame:
     """Members of the buckets with several nodes, with the bucket's smallest set and its number of nodes."""
     smallest = buckets.groupBy("bucket").agg(F.min(F.struct("size", "node")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    salted = smallest.withColumn("salt", F.explode(F.when(F.col("n") > 256, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(-1)))))
-    # Members of large buckets meet their first node in several tasks; all others know no salt.
-    hot = salted.filter("salt >= 0")
-    cold = salted.filter("salt < 0").drop("salt")
-    spread = buckets.withColumn("salt", F.pmod(F.hash("node"), F.lit(SALTS)))
-    found = spread.join(hot, ["bucket", "salt"]).drop("salt").unionByName(buckets.join(cold, "bucket"))
+    smallest = stage_table(smallest, "smallest")
+    found = join_spread(buckets, smallest, "bucket", heavy_keys(smallest, "bucket"), "node")
     return found.select("bucket", "n", "node", "size", F.col("first.node").alias("head"), F.col("first.size").alias("head_size"))
 
 
@@ -125,8 +122,12 @@ def _stars(shared: DataFrame) -> DataFrame:
 def _divided(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """Members, with their parts, of the buckets that hold several parts."""
     labelled = shared.join(labels, "node")
-    several = labelled.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low != high")
-    return labelled.join(several.select("bucket"), "bucket")
+    several = labelled.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.first("n").alias("n")).filter("low != high")
+    # A row knows how many its bucket has, so the members of large buckets go to several tasks.
+    large = F.col("n") > LEAST_HEAVY
+    copies = F.explode(F.when(large, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    dealt = labelled.withColumn("salt", F.when(large, F.pmod(F.hash("node"), F.lit(SALTS))).otherwise(0))
+    return dealt.join(several.select("bucket", copies.alias("salt")), ["bucket", "salt"]).drop("salt")
 
 
 def _across(divided: DataFrame) -> DataFrame:
@@ -275,18 +276,21 @@ def _components(docs: DataFrame) -> DataFrame:
     """Every row with its component."""
     signed = _signed(docs)
     nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("first_id"), F.min("row_key").alias("row_key"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("first_id"), F.min("row_key").alias("row_key"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+        F.count("*").alias("n"),
     )
     nodes = stage_table(nodes, "nodes")
     labels = _labels(docs, nodes)
     found = nodes.select("node", "first_id")
     if labels is not None:
-        first = labels.join(found, "node").groupBy("part").agg(F.min("first_id").alias("least_id"))
-        least = labels.join(first, "part").select("node", "least_id")
+        first = labels.join(found, "node").groupBy("part").agg(F.min("first_id").alias("least_id"), F.count("*").alias("n"))
+        first = stage_table(first, "least")
+        least = join_spread(labels, first, "part", heavy_keys(first, "part"), "node").select("node", "least_id")
         found = found.join(least, "node", "left").select("node", F.coalesce("least_id", "first_id").alias("first_id"))
     # Rows without words find nothing; their key only spreads them.
     key = F.coalesce("node", F.col("doc_id").cast("string").cast("binary"), F.lit(b""))
-    rows = signed.drop("bands").withColumn("key", key).join(found.withColumnRenamed("node", "key"), "key", "left")
+    heavy = heavy_keys(nodes, "node").withColumnRenamed("node", "key")
+    rows = join_spread(signed.drop("bands").withColumn("key", key), found.withColumnRenamed("node", "key"), "key", heavy, "row_key", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("first_id"))
     rows = rows.withColumn("component_id", component)
     return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))

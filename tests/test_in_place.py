@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from pagespine.functions import text as T
 from pagespine.operators import postprocess, rules
 from pagespine.operators.spread import PLACE, dealt
 from pagespine.session import stage_table
@@ -56,3 +57,12 @@ def test_block_files_are_opened_once(spark, tmp_path):
         assert "binaryfile" not in made._jdf.queryExecution().executedPlan().toString().lower()
     assert [r.document_name for r in blocks.collect()] == ["a"]
     assert sorted(r.document_name for r in left_out.collect()) == ["b", "c"]
+
+
+def test_dates_are_those_of_the_plain_patterns(spark):
+    texts = ["Market", "x jan", "\u017fep 3", "\u017fEPTEMBER", "xJan", "12/3/21", "112/3/21", "a 1-2-2021.", "\u0661/\u0662/\u0663\u0664", "1/2/3", "may_", "mayx", "Mond", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    month, number = T.MONTH_WORD.replace("(?=[JFMASOND])", ""), T.NUMERIC_DATE.replace(r"(?=\d{1,2}[/-])", "")
+    assert month != T.MONTH_WORD and number != T.NUMERIC_DATE
+    plain = F.col("text").rlike(month) | F.col("text").rlike(number)
+    assert df.filter(plain != T.is_date(F.col("text"))).isEmpty() and 0 < df.filter(plain).count() < len(texts)

@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from checks import tables
 from pagespine.operators import features, layout
 
 
@@ -51,6 +52,34 @@ def test_line_style_tie_goes_to_first_met(spark, make_lines):
     assert [(r.fontname, r.fontsize) for r in rows] == [("X", 9.0), ("Q", 9.0), ("Unknown", 0.0)]
 
 
+def test_line_styles_are_sorted_once(spark):
+    """Counts of characters go to the task of their line unsorted; only there they are sorted."""
+    chars = spark.range(40).selectExpr(
+        "concat('d', id % 2) AS document_name", "CAST(id DIV 40 AS INT) AS page_number", "CAST(id % 4 AS INT) AS line_no", "CAST(id AS INT) AS char_idx",
+        "if(id % 5 < 2, 'X', 'Y') AS fontname", "9.0D AS size",
+    )
+    styles = layout.line_styles(chars)
+    plan = styles._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.index("Sort [") < plan.index("Exchange") and plan.count("Exchange") == 2
+    assert {(r.document_name, r.line_no): (r.fontname, r.fontsize) for r in styles.collect()} == {(f"d{n % 2}", n): ("Y", 9.0) for n in range(4)}
+
+
+def test_line_styles_keep_null_and_unusual_fonts(spark):
+    chars = [("d", 0, 0, 0, "é字", 9.004), ("d", 0, 0, 1, "é字", 9.0), ("d", 0, 0, 2, "A", 9.0), ("d", None, 0, 0, None, 8.0), (None, 0, 0, 0, "B", None)]
+    df = spark.createDataFrame(chars, "document_name string, page_number int, line_no int, char_idx int, fontname string, size double")
+    assert {tuple(r) for r in layout.line_styles(df).collect()} == {("d", 0, 0, "é字", 9.0), ("d", None, 0, None, 8.0), (None, 0, 0, "B", None)}
+
+
+def test_lines_read_once_are_not_stored(spark, monkeypatch, tmp_path):
+    spark.createDataFrame([(1, "one two\nthree")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    made = []
+    monkeypatch.setattr(tables, "stage_table", lambda df, name, by=None: made.append(name) or df)
+    once = tables.chars(spark, str(tmp_path)).collect()
+    assert not made
+    tables.lines(spark, str(tmp_path))
+    assert made == ["lines"] and sorted(tables.chars(spark, str(tmp_path)).collect()) == sorted(once)
+
+
 def test_vertical_lines_are_left_out(make_lines):
     lines = make_lines([("d", 0, 0, "a", *A), ("d", 0, 1, "b", *A)])
     lines = lines.withColumn("orientation", F.when(F.col("line_no") == 1, "vertical").otherwise("horizontal"))

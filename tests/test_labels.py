@@ -89,6 +89,14 @@ def test_outline(make_blocks):
     assert [r.document_name for r in outline.empty_outlines(outline.document_outline(blocks)).collect()] == ["e"]
 
 
+def test_every_document_has_a_title_row(make_blocks):
+    blocks = make_blocks([
+        ("d", 1, "Second", "Title"), ("d", 0, "First", "Title"), ("d", 0, "Part", "H1"), ("e", 0, "text", "Body"), ("f", 0, "Head", "H1"),
+    ])
+    titles = {r.document_name: r.title for r in outline.document_titles(blocks).collect()}
+    assert titles == {"d": "First", "e": "Untitled Document", "f": "Untitled Document"}
+
+
 @pytest.mark.parametrize("pages", [[0, 5000], [5000]])
 def test_outline_is_one_row_however_far_its_pages_lie(make_blocks, pages):
     made = outline.document_outline(make_blocks([("d", page, f"Part {page}", "H1") for page in pages]))

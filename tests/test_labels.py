@@ -196,6 +196,15 @@ def test_more_rounds_than_ten(spark):
     assert small.filter("NOT settled").isEmpty() and large.filter("NOT settled").isEmpty()
 
 
+def test_rounds_are_planned_by_the_size_of_their_centers(spark):
+    """The estimate of joined plans would square with every round."""
+    documents = random_documents()
+    large = clusters.LargeDocumentKMeans(clusters.scaled_features(vectors(spark, documents)), broadcast_bytes=0)
+    seeds = large.seeds()
+    for centers in (seeds, large.settle(seeds)):
+        assert int(str(centers._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 1 << 20
+
+
 def test_cluster_labels_rank_by_size(spark):
     rows = [("d", 0, i, size, k) for i, (size, k) in enumerate([(9.0, 0), (9.0, 1), (20.0, 2), (12.0, 3), (10.0, 4), (8.0, 5)])]
     df = spark.createDataFrame(rows, "document_name string, page_number int, seq bigint, fontsize double, cluster_label int")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from checks import tables
 from checks.queries import QUERIES
 from pagespine.functions import text as T
-from pagespine.operators import layout, postprocess
+from pagespine.operators import corpus_model, layout, postprocess
 from pagespine.operators.spread import PLACE, dealt
 from pagespine.plans import outlines as plan
 from pagespine.session import stage_table
@@ -56,6 +56,23 @@ def test_style_and_cluster_queries_store_no_texts(spark, given, monkeypatch):
         plan.routed(tables.blocks(spark, given)).select("document_name", "seq", "is_uniform"))
 
 
+def test_reports_and_models_store_no_whole_blocks(spark, given, monkeypatch):
+    kept = {}
+
+    def spied(df, name, by=None):
+        kept[name] = df.columns
+        return stage_table(df, name, by)
+
+    monkeypatch.setattr(tables, "stage_table", spied)
+    model = corpus_model.with_points(tables.blocks(spark, given).select(*PLACE, "page_number", "seq", "feature_vector"))
+    assert "text" in kept.pop("blocks")
+    tables._stored.pop((spark.sparkContext.applicationId, given, "blocks"))
+    assert rows_of(corpus_model.with_points(tables.vectors(spark, given))) == rows_of(model)
+    for name in ("corpus_model", "run_report"):
+        assert QUERIES[name](spark, given).count()
+    assert "vectors" in kept and "blocks" not in kept
+
+
 def test_labelled_tables_hold_headings_only(spark, given):
     assert tables.labelled(spark, given).filter("features.word_count > 15 AND text IS NOT NULL").isEmpty()
     assert tables.finished(spark, given).filter("predicted_label = 'Body' AND text IS NOT NULL").isEmpty()

@@ -6,6 +6,7 @@ import tracemalloc
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from pagespine.operators import outline
 from pagespine.sources import files, report, sinks
 
@@ -131,3 +132,38 @@ def test_a_large_array_is_never_held():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert n == 100_000 and peak < 16 << 20
+
+
+def test_values_of_a_block_are_read_once(spark):
+    """Wrong features are told as before, and their text is parsed in one place of the plan."""
+    rows = spark.createDataFrame(
+        [(f"d{i}", '[{"text":"a","page_number":1,"fontsize":2,"features":%s}]' % f) for i, f in enumerate(
+            ('{"font_size":1}', '{"font_size":"x"}', '{"word_count":1.5}', '{"indentation":null}', "3"))],
+        "document_name string, value string",
+    )
+    parsed = files.parse_block_files(rows)
+    found = {r.document_name: r.reason for r in parsed.collect()}
+    assert found == {"d0": None, "d1": "wrong font_size", "d2": "wrong word_count", "d3": None, "d4": "wrong features"}
+    judged = next(part for part in parsed._jdf.queryExecution().analyzed().toString().split("\n") if " AS reason" in part and "from_json" in part)
+    assert judged.count("from_json") == 1
+
+
+def test_listing_keeps_names_out_of_the_driver_of_python(spark, tmp_path, monkeypatch):
+    for name in ("a.json", "b +ü%20.json", "zero.json"):
+        (tmp_path / name).write_text("" if name == "zero.json" else "[]")
+    monkeypatch.setattr(type(spark.range(1)), "inputFiles", None)
+    found = sorted(r.path.rsplit("/", 1)[1] for r in files.listed(spark, str(tmp_path), "json").collect())
+    assert found == ["a.json", "b +ü%20.json", "zero.json"]
+    assert files.listed(spark, str(tmp_path), "none").isEmpty()
+
+
+def test_block_files_lie_a_folder_at_a_time(spark, tmp_path, monkeypatch):
+    rows = [(n, f"Heading {n}\nSome text of document {n}") for n in range(40)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    written, gone = [], []
+    write, away = sinks.write_named_files, queries.remove
+    monkeypatch.setattr(sinks, "write_named_files", lambda df, path: (written.append(path), write(df, path))[1])
+    monkeypatch.setattr(queries, "remove", lambda session, path: (gone.append(path), away(session, path))[1])
+    left_out = queries.QUERIES["reject_malformed"](spark, str(tmp_path))
+    assert {r.document_name for r in left_out.collect()} == {f"doc_{n}" for n in range(40) if n % 7 in (0, 3, 5)}
+    assert len(written) == queries.BLOCK_FOLDERS and set(gone) <= set(written) and not any(os.path.exists(p) for p in gone)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from pagespine.operators import outline
-from pagespine.sources import files, report, sinks
+from pagespine.sources import changes, files, report, sinks
+from pagespine.streaming import arrivals
 
 
 def test_base_names(spark):
@@ -167,3 +168,23 @@ def test_block_files_lie_a_folder_at_a_time(spark, tmp_path, monkeypatch):
     left_out = queries.QUERIES["reject_malformed"](spark, str(tmp_path))
     assert {r.document_name for r in left_out.collect()} == {f"doc_{n}" for n in range(40) if n % 7 in (0, 3, 5)}
     assert len(written) == queries.BLOCK_FOLDERS and set(gone) <= set(written) and not any(os.path.exists(p) for p in gone)
+
+
+def test_digests_are_stored_before_names_are_counted(spark, tmp_path):
+    (tmp_path / "a.json").write_text("[]")
+    (tmp_path / "a.JSON").write_text("[ ]")
+    (tmp_path / "b.json").write_bytes(b"")
+    prints = changes.fingerprints(files.block_files(spark, str(tmp_path)))
+    assert "binaryFile" not in prints._jdf.queryExecution().optimizedPlan().toString() and "content" not in prints._jdf.queryExecution().toString()
+    found = {(r.path.rsplit("/", 1)[1], r.fingerprint[64:]) for r in prints.collect()}
+    assert found == {("a.json", "/2"), ("a.JSON", "/2"), ("b.json", "")}
+
+
+def test_a_stream_lists_files_without_their_places(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("[]")
+    kept = []
+    monkeypatch.setattr(arrivals, "write_batch", lambda batch, *rest: kept.append(batch.sparkSession.conf.get("spark.sql.sources.ignoreDataLocality")))
+    before = spark.conf.get("spark.sql.sources.ignoreDataLocality")
+    arrivals.watch(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert kept == ["true"] and spark.conf.get("spark.sql.sources.ignoreDataLocality") == before
